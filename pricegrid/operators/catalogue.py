@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from ..fixed_values import CATALOGUE_COLUMNS
 from ..functions.scalars import catalogue_code
-from .joins import attach_dimension
+from .joins import attach_dimension, bounded_size
 
 # Catalogue entry as read, under either language's names.
 ENTRY_SCHEMA = T.StructType(
@@ -94,7 +94,8 @@ def enrich(df: DataFrame, mapping: DataFrame) -> DataFrame:
     material; with any other, unknown codes get nulls.
     """
     bare = df.drop(*CATALOGUE_COLUMNS)
-    if mapping.isEmpty():
+    size = bounded_size(mapping)
+    if not size:
         return bare.withColumns(
             {
                 "material_id": F.col("codigo_item_catalogo"),
@@ -103,4 +104,4 @@ def enrich(df: DataFrame, mapping: DataFrame) -> DataFrame:
                 "unidade_padrao": F.lit(None).cast("string"),
             }
         )
-    return attach_dimension(bare, mapping, "codigo_item_catalogo")
+    return attach_dimension(bare, mapping, "codigo_item_catalogo", size)

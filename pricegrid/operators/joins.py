@@ -84,18 +84,27 @@ def comparable_columns(df: DataFrame) -> list[str]:
     ]
 
 
+def bounded_size(df: DataFrame, bound: int = BROADCAST_ROWS) -> int:
+    """Rows of ``df``, counted no further than one past the bound."""
+    return df.limit(bound + 1).count()
+
+
 def attach_dimension(
-    rows: DataFrame, dimension: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    size: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join to a table with one row per ``key``; null keys match nothing.
 
-    The dimension is counted first, up to the bound. Beyond it every code of
-    ``rows``, known or not, is weighed so that hot ones can be spread.
+    The dimension is counted first, unless the caller knows its ``size``. Beyond
+    the bound every code of ``rows``, known or not, is weighed so that hot ones
+    can be spread.
     """
-    size = dimension.limit(broadcast_rows + 1).count()
     known = dimension.filter(F.col(key).isNotNull())
-    if size <= broadcast_rows:
+    if (bounded_size(dimension, broadcast_rows) if size is None else size) <= broadcast_rows:
         return rows.join(F.broadcast(known), key, "left")
     weights = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     groups = weights.join(known, key, "left")
-    return attach_groups(rows, groups, [key], size, "__rows", broadcast_rows)
+    return attach_groups(rows, groups, [key], broadcast_rows + 1, "__rows", broadcast_rows)

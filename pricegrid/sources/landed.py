@@ -26,6 +26,8 @@ PAGE_SCHEMA = T.StructType(
 
 # Objects inside objects are searched this deep; deeper pages are rejected.
 ENVELOPE_DEPTH = 6
+# Stands for the records of a page that is too deep; records are never null.
+_TOO_DEEP = "null"
 
 _OBJECT = "map<string,variant>"
 _LIST = "array<variant>"
@@ -61,15 +63,14 @@ def _from_object(value: Column, depth: int) -> Column:
     object with records. Otherwise an object without nested values is a record.
     """
 
-    def from_fields(fields: Column) -> Column:
-        nested = F.lit(None).cast(_LIST)
+    def from_value(v: Column) -> Column:
         if depth:
-            nested = _first_of(
-                F.transform(
-                    _record_values(fields),
-                    lambda v: F.coalesce(_objects_of(v), _from_object(v, depth - 1)),
-                )
-            )
+            return F.coalesce(_objects_of(v), _from_object(v, depth - 1))
+        marker = F.array(F.parse_json(F.lit(_TOO_DEEP)))
+        return F.coalesce(_objects_of(v), F.when(_as_object(v).isNotNull(), marker))
+
+    def from_fields(fields: Column) -> Column:
+        nested = _first_of(F.transform(_record_values(fields), from_value))
         plain = F.forall(
             F.map_values(fields),
             lambda v: _as_list(v).isNull() & _as_object(v).isNull(),
@@ -102,19 +103,15 @@ def parsed_pages(pages: DataFrame, depth: int = ENVELOPE_DEPTH) -> DataFrame:
     parsed = pages.withColumn("__body", F.try_parse_json("body"))
     body = F.col("__body")
     searched = parsed.withColumns(
-        {"records": page_records(body, depth), "declared_pages": total_pages(body)}
+        {"__found": page_records(body, depth), "declared_pages": total_pages(body)}
     )
-    reason = F.when(body.isNull(), "NOT_JSON").when(_deeper_than(body, depth), "TOO_DEEP")
-    return searched.withColumn("reject_reason", reason).drop("__body")
-
-
-def _deeper_than(body: Column, depth: int) -> Column:
-    """Whether record keys nest objects past the depth that is searched."""
-    level = F.array(body)
-    for _ in range(depth + 1):
-        inner = F.flatten(F.transform(level, lambda v: _record_values(_as_object(v))))
-        level = F.filter(inner, lambda v: _as_object(v).isNotNull())
-    return F.coalesce(F.size(level) > 0, F.lit(False))
+    too_deep = F.exists("__found", F.is_variant_null)
+    return searched.withColumns(
+        {
+            "records": F.filter("__found", lambda r: ~F.is_variant_null(r)),
+            "reject_reason": F.when(body.isNull(), "NOT_JSON").when(too_deep, "TOO_DEEP"),
+        }
+    ).drop("__body", "__found")
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
@@ -123,10 +120,14 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """One row per record: the page's columns, ``position`` and ``record``."""
-    readable = parsed_pages(pages).filter("reject_reason IS NULL")
+    """One row per record: the page's columns, ``position`` and ``record``.
+
+    Rejected pages have no records. The outer explode keeps Spark from testing
+    the array in a filter of its own, which would parse every body twice.
+    """
     keys = [c for c in pages.columns if c != "body"]
-    return readable.select(*keys, F.posexplode("records").alias("position", "record"))
+    rows = parsed_pages(pages).select(*keys, F.posexplode_outer("records").alias("position", "record"))
+    return rows.filter("position IS NOT NULL")
 
 
 def with_metadata(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
