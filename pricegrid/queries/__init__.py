@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import QUERIES, TWINS, Query
 
-_MODULES = ("landed", "records")
+_MODULES = ("landed", "records", "marts")
 
 
 def _load() -> None:

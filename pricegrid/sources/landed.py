@@ -25,7 +25,7 @@ PAGE_SCHEMA = T.StructType(
 )
 
 # Objects inside objects are searched this deep; deeper pages are rejected.
-ENVELOPE_DEPTH = 6
+ENVELOPE_DEPTH = 3
 # Stands for the records of a page that is too deep; records are never null.
 _TOO_DEEP = "null"
 
