@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import MONTHLY_DIMENSIONS, STATE_DIMENSIONS
 from .derive import date_columns
-from .quantiles import GROUP_ROWS, banded_quantiles, group_profile
+from .quantiles import GROUP_ROWS, counted_quantiles, split_by_size
 
 PROBS = (0.25, 0.5, 0.75)
 QUANTILE_COLUMNS = ("percentil_25", "preco_mediano", "percentil_75")
@@ -54,40 +55,48 @@ def _quantiles_as_columns(df: DataFrame) -> DataFrame:
 
 
 def aggregate_prices(
-    df: DataFrame,
-    dimensions: Sequence[str],
-    group_rows: int = GROUP_ROWS,
-    profile: tuple[int, int] | None = None,
+    df: DataFrame, dimensions: Sequence[str], group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """The twelve metrics per group; null dimensions form groups of their own."""
     dims = list(dimensions)
     counted = {"quantidade_fornecedores": "ni_fornecedor", "quantidade_orgaos": "codigo_orgao"}
     present = {name: c for name, c in counted.items() if c in df.columns}
     narrow = df.select(*dims, PRICE, QUANTITY, *present.values())
-    groups, largest = profile or group_profile(narrow, dims)
-    if largest <= group_rows:
-        probs = F.array(*[F.lit(p) for p in PROBS])
-        mart = narrow.groupBy(*dims).agg(
-            *_plain_metrics(),
-            F.percentile(PRICE, probs).alias("quantiles"),
-            # Bounded by the measured group size; a distinct count would
-            # multiply the rows before the shuffle.
-            *[F.size(F.collect_set(c)).cast("long").alias(name) for name, c in present.items()],
-        )
-        mart = _quantiles_as_columns(mart)
-    else:
-        # Distinct counts and plain metrics combine before each shuffle; the
-        # quantiles are solved by counting. Both give one row per group.
-        plain = narrow.groupBy(*dims).agg(
-            *_plain_metrics(),
-            *[F.count_distinct(c).alias(name) for name, c in present.items()],
-        )
-        solved = banded_quantiles(narrow, dims, PRICE, PROBS, groups).drop("group_rows")
-        parts = plain.unionByName(_quantiles_as_columns(solved), allowMissingColumns=True)
-        values = [c for c in parts.columns if c not in dims]
-        mart = parts.groupBy(*dims).agg(*[F.max(c).alias(c) for c in values])
+    split = split_by_size(narrow, dims, group_rows)
+    parts = []
+    if split.small is not None:
+        parts.append(_small_groups(split.small, dims, present))
+    if split.large is not None:
+        parts.append(_large_groups(split.large, dims, present, split.large_groups))
+    mart = reduce(DataFrame.unionByName, parts)
     absent = {name: F.lit(0).cast("long") for name in counted if name not in present}
-    return mart.withColumns(absent).select(*dims, *METRICS) if absent else mart.select(*dims, *METRICS)
+    return (mart.withColumns(absent) if absent else mart).select(*dims, *METRICS)
+
+
+def _small_groups(df: DataFrame, dims: list[str], counted: dict[str, str]) -> DataFrame:
+    """One aggregate. Sets are bounded by the checked group size, and a distinct
+    count would multiply the rows before the shuffle."""
+    probs = F.array(*[F.lit(p) for p in PROBS])
+    mart = df.groupBy(*dims).agg(
+        *_plain_metrics(),
+        F.percentile(PRICE, probs).alias("quantiles"),
+        *[F.size(F.collect_set(c)).cast("long").alias(name) for name, c in counted.items()],
+    )
+    return _quantiles_as_columns(mart)
+
+
+def _large_groups(
+    df: DataFrame, dims: list[str], counted: dict[str, str], groups: int
+) -> DataFrame:
+    """Plain metrics and distinct counts, which combine before each shuffle, and
+    quantiles by counting; each gives one row per group, merged by grouping."""
+    plain = df.groupBy(*dims).agg(
+        *_plain_metrics(), *[F.count_distinct(c).alias(name) for name, c in counted.items()]
+    )
+    solved = counted_quantiles(df, dims, PRICE, PROBS, groups).drop("group_rows")
+    both = plain.unionByName(_quantiles_as_columns(solved), allowMissingColumns=True)
+    values = [c for c in both.columns if c not in dims]
+    return both.groupBy(*dims).agg(*[F.max(c).alias(c) for c in values])
 
 
 def with_variation(mart: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import BROADCAST_ROWS, attach_groups
-from .quantiles import GROUP_ROWS, group_profile, group_quantiles
+from .quantiles import GROUP_ROWS, group_quantiles
 
 GROUP = ["codigo_item_catalogo", "ano_mes"]
 PRICE = "preco_normalizado"
@@ -25,8 +25,7 @@ def _flag(
     Every record with a price counts towards its group's limits, valid or not.
     Records are not shuffled as long as the limits are few.
     """
-    profile = group_profile(df, GROUP)
-    stats = group_quantiles(df, GROUP, PRICE, probs, profile, group_rows)
+    stats, groups = group_quantiles(df, GROUP, PRICE, probs, group_rows)
     limits = stats.select(
         *GROUP,
         F.col("group_rows").alias("__rows"),
@@ -36,7 +35,7 @@ def _flag(
             F.col("quantiles")[1].alias("high"),
         ).alias("__limits"),
     )
-    joined = attach_groups(df, limits, GROUP, profile[0], "__rows", broadcast_rows)
+    joined = attach_groups(df, limits, GROUP, groups, "__rows", broadcast_rows)
     keyed = F.col(GROUP[0]).isNotNull() & F.col(GROUP[1]).isNotNull()
     large = F.col("__limits.n") >= min_group
     return (

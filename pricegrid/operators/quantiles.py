@@ -1,21 +1,23 @@
 """Exact interpolated quantiles per group.
 
-Two ways to the same values. Small groups use Spark's ``percentile``, which
-holds the values of a group in one task. Groups past a measured size are solved
-by counting: values are put into narrow bands that keep their order, running
-counts over the bands of a group show which band holds a wanted rank, that band
-is split once more, and only the values of the last narrow range are numbered.
-All steps are partial aggregates or windows over bounded counts, so a group may
+Two ways to the same values. Groups up to a size use Spark's ``percentile``,
+which holds the values of a group in one task. Larger ones are solved by
+counting: values are put into narrow bands that keep their order, running counts
+over the bands of a group show which band holds a wanted rank, that band is
+split once more, and only the values of the last narrow range are numbered. All
+its steps are partial aggregates or windows over bounded counts, so a group may
 hold any share of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..staging import stage
 from .joins import BROADCAST_ROWS
 
 GROUP_ROWS = 1_000_000
@@ -25,11 +27,37 @@ ZERO_OFFSET = 200_000
 SPLITS = 4_096
 
 
-def group_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Number of groups and rows of the largest one, by one small job."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest")).first()
-    return row["groups"], row["largest"] or 0
+@dataclass(frozen=True)
+class GroupSplit:
+    """Rows of groups that fit into a task, and of groups that may not."""
+
+    small: DataFrame | None
+    large: DataFrame | None
+    groups: int
+    large_groups: int
+
+
+def split_by_size(
+    df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS
+) -> GroupSplit:
+    """Count the groups by one small job and tell large ones apart.
+
+    The keys of large groups are few, as each stands for many rows; they are
+    broadcast after a check of their number. If they are too many, or all groups
+    are large, every row counts as large.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    large = F.col("__rows") > group_rows
+    seen = sizes.agg(F.count(F.lit(1)).alias("groups"), F.count_if(large).alias("large")).first()
+    groups, many = seen["groups"], seen["large"]
+    if not many:
+        return GroupSplit(df, None, groups, 0)
+    if many == groups or many > BROADCAST_ROWS:
+        return GroupSplit(None, df, groups, many)
+    named = [F.col(k).alias(f"__of_{k}") for k in keys]
+    hot = F.broadcast(stage(sizes.filter(large).select(*named), "large-groups"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys))
+    return GroupSplit(df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi"), groups, many)
 
 
 def group_quantiles(
@@ -37,14 +65,17 @@ def group_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Sequence[float],
-    profile: tuple[int, int] | None = None,
     group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """``keys``, ``group_rows`` and ``quantiles`` (one per prob) of non-null values."""
-    groups, largest = profile or group_profile(df, keys)
-    if largest <= group_rows:
-        return held_quantiles(df, keys, value, probs)
-    return banded_quantiles(df, keys, value, probs, groups)
+) -> tuple[DataFrame, int]:
+    """``keys``, ``group_rows`` and ``quantiles`` (one per prob) of the non-null
+    values, and the number of groups."""
+    split = split_by_size(df.select(*keys, value), keys, group_rows)
+    parts = []
+    if split.small is not None:
+        parts.append(held_quantiles(split.small, keys, value, probs))
+    if split.large is not None:
+        parts.append(counted_quantiles(split.large, keys, value, probs, split.large_groups))
+    return reduce(DataFrame.unionByName, parts), split.groups
 
 
 def held_quantiles(
@@ -63,12 +94,13 @@ def value_band(value: Column) -> Column:
     return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("long")
 
 
-def banded_quantiles(
+def counted_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], group_count: int
 ) -> DataFrame:
     keys = list(keys)
     named = df.select(*keys, F.col(value).cast("double").alias("__v"))
     known = named.filter(F.col("__v").isNotNull())
+    spans = group_count * 2 * len(probs)
     # Equal values fold before they are shuffled; the hash covers the value.
     counted = (
         known.withColumn("__band", value_band(F.col("__v")))
@@ -76,32 +108,26 @@ def banded_quantiles(
         .agg(F.count(F.lit(1)).alias("__n"))
     )
 
-    bands = _with_counts_before(
-        counted.groupBy(*keys, "__band").agg(*_range_stats()), keys, ["__band"]
-    ).withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
-    ranks = _wanted_ranks(probs, F.col("__total"))
-    narrowed = _holding(bands.withColumn("__ranks", ranks)).select(
-        *keys, "__band", "__ranks", "__before", "__total",
-        F.col("__low").alias("__from"), F.col("__high").alias("__to"),
+    bands = counted.groupBy(*keys, "__band").agg(*_range_stats())
+    bands = bands.withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
+    bands = _with_ranks_before(bands.withColumn("__start", F.lit(0)), keys, "__band")
+    held = _holding(bands, probs).select(
+        *keys, "__band", "__total", F.col("__before").alias("__start"), "__low", "__high"
     )
 
     level = [*keys, "__band"]
-    inside = _within(counted, narrowed, level, group_count * 2 * len(probs))
-    width = F.col("__to") - F.col("__from")
-    share = F.when(width > 0, (F.col("__v") - F.col("__from")) / width).otherwise(F.lit(0.0))
-    inside = inside.withColumn("__split", F.floor(share * SPLITS))
-    carried = ["__ranks", "__before", "__total"]
-    splits = inside.groupBy(*level, "__split").agg(
-        *_range_stats(), *[F.first(c).alias(c) for c in carried]
+    inside = _within(counted, held, level, spans)
+    width = F.col("__high") - F.col("__low")
+    share = F.when(width > 0, (F.col("__v") - F.col("__low")) / width).otherwise(F.lit(0.0))
+    inside = inside.withColumn("__split", F.floor(share * SPLITS)).drop("__low", "__high")
+    splits = inside.groupBy(*level, "__split", "__total", "__start").agg(*_range_stats())
+    held = _holding(_with_ranks_before(splits, level, "__split"), probs).select(
+        *level, "__split", F.col("__before").alias("__first")
     )
-    splits = _with_counts_before(splits.withColumnRenamed("__before", "__start"), level, ["__split"])
-    splits = splits.withColumn("__before", F.col("__before") + F.col("__start"))
-    final = _holding(splits).select(*level, "__split", "__ranks", "__before", "__total")
 
     level = [*level, "__split"]
-    last = _within(inside.drop(*carried), final, level, group_count * 2 * len(probs))
-    last = _with_counts_before(last.withColumnRenamed("__before", "__start"), level, ["__v"])
-    found = _holding(last.withColumn("__before", F.col("__before") + F.col("__start")))
+    last = _within(inside, held, level, spans).withColumn("__start", F.col("__first"))
+    found = _holding(_with_ranks_before(last, level, "__v"), probs)
     return _complete(_interpolated(found, keys, probs), named, keys)
 
 
@@ -113,26 +139,23 @@ def _range_stats() -> list[Column]:
     ]
 
 
-def _with_counts_before(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``__before``: rows of the group in front of this one."""
-    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("__before", F.sum("__n").over(frame) - F.col("__n"))
+def _with_ranks_before(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``__before``: rank, from 0, of the first value this row stands for."""
+    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = F.sum("__n").over(frame) - F.col("__n")
+    return df.withColumn("__before", F.col("__start") + ahead)
 
 
-def _wanted_ranks(probs: Sequence[float], total: Column) -> Column:
-    """Ranks, from 0, on both sides of each wanted position."""
-    positions = [(total - 1) * F.lit(float(p)) for p in probs]
-    return F.array_distinct(
-        F.array(*[f(p).cast("long") for p in positions for f in (F.floor, F.ceil)])
-    )
+def _position(p: float) -> Column:
+    return (F.col("__total") - 1) * F.lit(float(p))
 
 
-def _holding(df: DataFrame) -> DataFrame:
-    """Rows whose span of ranks holds a wanted one; the others are dropped."""
-    inside = F.filter(
-        "__ranks", lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n"))
-    )
-    return df.withColumn("__ranks", inside).filter(F.size("__ranks") > 0)
+def _holding(df: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Rows that stand for a wanted rank, on either side of a wanted position."""
+    ranks = [f(_position(p)).cast("long") for p in probs for f in (F.floor, F.ceil)]
+    end = F.col("__before") + F.col("__n")
+    inside = [(r >= F.col("__before")) & (r < end) for r in ranks]
+    return df.filter(reduce(lambda a, b: a | b, inside))
 
 
 def _within(values: DataFrame, spans: DataFrame, keys: list[str], span_rows: int) -> DataFrame:
@@ -146,22 +169,27 @@ def _within(values: DataFrame, spans: DataFrame, keys: list[str], span_rows: int
 
 
 def _interpolated(found: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Put the values at the wanted ranks together, at most two per prob."""
-    at_rank = found.select(*keys, "__total", F.explode("__ranks").alias("__rank"), "__v")
-    per_group = at_rank.groupBy(*keys).agg(
-        F.first("__total").alias("group_rows"),
-        F.map_from_entries(F.collect_list(F.struct("__rank", "__v"))).alias("__at"),
+    """Bring the values at the wanted ranks together: two per prob and group."""
+    end = F.col("__before") + F.col("__n")
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("__before")) & (rank < end), F.col("__v")))
+
+    sides = {"low": F.floor, "high": F.ceil}
+    values = found.groupBy(*keys, "__total").agg(
+        *[
+            value_at(side(_position(p)).cast("long")).alias(f"__{name}_{i}")
+            for i, p in enumerate(probs)
+            for name, side in sides.items()
+        ]
     )
 
-    def quantile(p: float) -> Column:
-        position = (F.col("group_rows") - 1) * F.lit(float(p))
-        low, high = F.floor(position).cast("long"), F.ceil(position).cast("long")
-        low_value, high_value = F.element_at("__at", low), F.element_at("__at", high)
-        return low_value + (high_value - low_value) * (position - low)
+    def quantile(i: int, p: float) -> Column:
+        low, high = F.col(f"__low_{i}"), F.col(f"__high_{i}")
+        return low + (high - low) * (_position(p) - F.floor(_position(p)))
 
-    return per_group.select(
-        *keys, "group_rows", F.array(*[quantile(p) for p in probs]).alias("quantiles")
-    )
+    solved = F.array(*[quantile(i, p) for i, p in enumerate(probs)])
+    return values.select(*keys, F.col("__total").alias("group_rows"), solved.alias("quantiles"))
 
 
 def _complete(solved: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

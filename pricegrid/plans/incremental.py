@@ -13,7 +13,7 @@ from ..operators.joins import BROADCAST_ROWS, attach_dimension
 from ..operators.outliers import iqr_outliers
 from ..settings import Settings
 from ..sources.tables import SILVER_PARTITIONS, read_silver, silver_layout, write_silver
-from ..staging import path_exists, stage
+from ..staging import delete_path, path_exists, settled, stage, stage_scope
 
 WATERMARK_SCHEMA = T.StructType(
     [
@@ -98,51 +98,60 @@ def _in_partitions(df: DataFrame, touched: DataFrame) -> DataFrame:
 def merge_silver(
     spark: SparkSession, silver_path: str, incoming: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """Merge cleaned records into Silver, latest version wins; returns the changes.
+    """Merge cleaned records into Silver, latest version wins.
 
     Only partitions that get a record, or hold an older version of one, are
     read and replaced. A partition is one outlier group, so limits are computed
-    from whole groups. Running the same batch again changes nothing.
+    from whole groups. Running the same batch again changes nothing. Returns one
+    row: how many records were new, updated and the same.
     """
-    batch = stage(incoming.drop("is_outlier", "outlier_reason"), "merge-batch")
-    if not path_exists(spark, silver_path):
-        changes = classify_changes(batch, batch.limit(0))
-        merged, old = latest_lines(batch), None
-    else:
-        old = read_silver(spark, silver_path).drop("is_outlier", "outlier_reason")
-        changes = classify_changes(batch, old)
-        lines = batch.select(*TECHNICAL_KEY).dropna().distinct()
-        held = old.join(lines, list(TECHNICAL_KEY), "left_semi").select(*SILVER_PARTITIONS)
-        arriving = silver_layout(batch).select(
-            "catmat", F.col("ano").cast("int").alias("ano"), F.col("mes").cast("int").alias("mes")
+    with stage_scope(spark):
+        batch = stage(incoming.drop("is_outlier", "outlier_reason"), "merge-batch")
+        old = touched = None
+        if path_exists(spark, silver_path):
+            old = read_silver(spark, silver_path).drop("is_outlier", "outlier_reason")
+            touched = stage(touched_partitions(batch, old), "merge-partitions")
+            before = _in_partitions(old, touched).drop("catmat")
+            merged = latest_lines(before.unionByName(batch, allowMissingColumns=True))
+        else:
+            merged = latest_lines(batch)
+        changes = classify_changes(batch, batch.limit(0) if old is None else old)
+        counts = settled(
+            changes.agg(
+                *[F.count_if(F.col("change") == c).alias(c) for c in ("new", "updated", "same")]
+            )
         )
-        touched = stage(held.unionByName(arriving).distinct(), "merge-partitions")
-        before = _in_partitions(old, touched).drop("catmat")
-        merged = latest_lines(before.unionByName(batch, allowMissingColumns=True))
-    changes = stage(
-        changes.select(F.col("codigo_item_catalogo").alias("catmat"), "record_hash", "change"),
-        "merge-changes",
-    )
-    flagged = iqr_outliers(
-        stage(merged, "merge-rows"), settings.iqr_multiplier, settings.min_outlier_group
+        flagged = iqr_outliers(
+            stage(merged, "merge-rows"), settings.iqr_multiplier, settings.min_outlier_group
+        )
+        final = stage(flagged, "merge-final")
+        write_silver(final, silver_path)
+        if touched is not None:
+            _drop_emptied(spark, silver_path, touched, final)
+        return counts
+
+
+def _partition_columns(df: DataFrame) -> DataFrame:
+    return silver_layout(df).select(
+        "catmat", *[F.col(c).cast("int").alias(c) for c in SILVER_PARTITIONS[1:]]
     )
-    final = stage(flagged, "merge-final")
-    write_silver(final, silver_path)
-    if old is not None:
-        _drop_emptied(spark, silver_path, touched, final)
-    return changes
+
+
+def touched_partitions(batch: DataFrame, old: DataFrame) -> DataFrame:
+    """Partitions that get a record of the batch or hold a version of its lines."""
+    lines = batch.select(*TECHNICAL_KEY).dropna().distinct()
+    held = old.join(lines, list(TECHNICAL_KEY), "left_semi").select(*SILVER_PARTITIONS)
+    return held.unionByName(_partition_columns(batch)).distinct()
 
 
 def _drop_emptied(spark: SparkSession, path: str, touched: DataFrame, final: DataFrame) -> None:
     """Delete touched partitions that no record is left in."""
-    kept = silver_layout(final).select("catmat", *[F.col(c).cast("int").alias(c) for c in ("ano", "mes")])
-    emptied = touched.join(kept.distinct(), list(SILVER_PARTITIONS), "left_anti")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    kept = _partition_columns(final).distinct()
+    emptied = touched.join(kept, list(SILVER_PARTITIONS), "left_anti")
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for row in emptied.toLocalIterator():
-        code = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(row["catmat"])
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/catmat={code}/ano={row['ano']:04d}/mes={row['mes']:02d}")
-        folder.getFileSystem(conf).delete(folder, True)
+        folder = f"catmat={escape(row['catmat'])}/ano={row['ano']:04d}/mes={row['mes']:02d}"
+        delete_path(spark, f"{path}/{folder}")
 
 
 def advance_watermarks(

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import QUERIES, TWINS, Query
 
-_MODULES = ("landed", "records", "marts")
+_MODULES = ("landed", "records", "marts", "runs")
 
 
 def _load() -> None:

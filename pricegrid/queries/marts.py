@@ -30,11 +30,12 @@ from ..operators.questions import (
     state_differences,
 )
 from ..plans.gold import build_marts, monthly_prices, state_prices
+from ..staging import stage
 from .records import (
     IQR_SQL,
     SETTINGS,
     SILVER_SQL,
-    flagged_purchases,
+    cleaned_purchases,
     flagged_sql,
     iqr_outliers,
     silver,
@@ -152,7 +153,8 @@ def _series(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
 
 
 def eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligible_records(iqr_outliers(flagged_purchases(spark, sf_dir)))
+    """Eligible purchases, read from a written table as the marts do."""
+    return eligible_records(stage(iqr_outliers(cleaned_purchases(spark, sf_dir)), "silver"))
 
 
 @query(
@@ -163,7 +165,7 @@ def eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     count(*) FILTER (WHERE {_ELIGIBLE} AND is_outlier) AS records_outlier_excluded FROM o""",
 )
 def preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preparation_metrics(iqr_outliers(flagged_purchases(spark, sf_dir)))
+    return preparation_metrics(iqr_outliers(cleaned_purchases(spark, sf_dir)))
 
 
 @query(
@@ -195,8 +197,8 @@ def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {MONTHLY_SQL} SELECT {_mart_list(MONTHLY_DIMENSIONS)} FROM mm",
 )
 def monthly_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken past the size bound: quantiles by counting."""
-    return comparable(monthly_mart(eligible(spark, sf_dir), group_rows=0))
+    """Groups past a bound take the way of large ones: quantiles by counting."""
+    return comparable(monthly_mart(eligible(spark, sf_dir), group_rows=15))
 
 
 @query(
@@ -354,6 +356,6 @@ _GOLD_SQL = SILVER_SQL + f", g AS (SELECT * FROM o WHERE {_ELIGIBLE} AND NOT is_
     f" SELECT {_series_list(MONTHLY_DIMENSIONS)} FROM mi",
 )
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From text records to the monthly mart in one plan."""
-    marts = build_marts(silver(spark, sf_dir).records, SETTINGS)
+    """From text records to the monthly mart."""
+    marts = build_marts(stage(silver(spark, sf_dir).records, "silver"), SETTINGS)
     return _series(marts.monthly, MONTHLY_DIMENSIONS)

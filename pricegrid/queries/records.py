@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixed_values import REGION_BY_UF
@@ -19,6 +17,7 @@ from ..operators.quantiles import group_quantiles
 from ..operators.units import convert_units
 from ..plans.silver import transform_silver
 from ..settings import Settings
+from ..staging import stage
 from .registry import DIGITS, comparable, query, rounded
 from .source import PURCHASE, START_DATE, entries, mapping_sql, purchases, purchases_sql, table
 
@@ -74,21 +73,26 @@ IQR_OUTSIDE = (
 IQR_SQL = outliers_sql("f", 0.25, 0.75, IQR_OUTSIDE, "IQR_1.5")
 
 
-def typed_purchases(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] = _PLAIN
-) -> DataFrame:
-    return purchases(spark, sf_dir, columns)
-
-
-def flagged_purchases(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] = _PLAIN
-) -> DataFrame:
+def flagged_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases of the period with catalogue, derived and quality columns."""
-    rows = within_period(typed_purchases(spark, sf_dir, columns), START_DATE)
+    rows = within_period(purchases(spark, sf_dir, _PLAIN), START_DATE)
     mapping = catalogue_mapping(entries(spark, sf_dir))
     return quality_flags(derived_columns(enrich(rows, mapping)))
 
 
+# What outliers and marts need of a record.
+MART_INPUT = (
+    "id_compra", "id_item_compra", "arrival", "codigo_item_catalogo", "material_id", "material",
+    "categoria_material", "unidade_normalizada", "uf", "regiao", "data_compra", "ano_mes",
+    "quantidade", "preco_normalizado", "ni_fornecedor", "codigo_orgao", "is_valid_record",
+)
+
+
+def cleaned_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a written table, as outliers read it more than once."""
+    return stage(flagged_purchases(spark, sf_dir).select(*MART_INPUT), "purchases")
+
+
 # Source records as they land: camelCase names, everything is text.
 _NUMBER_TEXT = "replace(CAST({} AS STRING), '.', ',')"
 RAW = {
@@ -292,7 +296,7 @@ _OUTLIER = (*_ID, "codigo_item_catalogo", "ano_mes", "is_outlier", "outlier_reas
 
 @query("iqr_outliers", f"WITH {flagged_sql()}, {IQR_SQL} SELECT {', '.join(_OUTLIER)} FROM o")
 def iqr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return iqr_outliers(flagged_purchases(spark, sf_dir)).select(*_OUTLIER)
+    return iqr_outliers(cleaned_purchases(spark, sf_dir)).select(*_OUTLIER)
 
 
 @query(
@@ -301,7 +305,7 @@ def iqr(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def iqr_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken past the size bounds: limits by counting, spread join."""
-    rows = flagged_purchases(spark, sf_dir)
+    rows = cleaned_purchases(spark, sf_dir)
     return iqr_outliers(rows, group_rows=0, broadcast_rows=0).select(*_OUTLIER)
 
 
@@ -312,7 +316,7 @@ def iqr_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT {', '.join(_OUTLIER)} FROM o""",
 )
 def percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return percentile_outliers(flagged_purchases(spark, sf_dir)).select(*_OUTLIER)
+    return percentile_outliers(cleaned_purchases(spark, sf_dir)).select(*_OUTLIER)
 
 
 @query(
@@ -325,7 +329,7 @@ def percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def counted_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = purchases(spark, sf_dir, ("codigo_item_catalogo", "preco_unitario"))
-    solved = group_quantiles(
+    solved, _ = group_quantiles(
         rows, ["codigo_item_catalogo"], "preco_unitario", (0.01, 0.5, 0.999), group_rows=0
     )
     names = {n: F.col("quantiles")[i] for i, n in enumerate(("p01", "p50", "p999"))}

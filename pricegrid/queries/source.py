@@ -72,8 +72,30 @@ _KEYS = {
 }
 
 
+# The tables' columns, so that no job has to read them from the files.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+}
+_SPREAD_BY = {"lineitem": "l_orderkey", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. A fact table in fewer files than there are cores is
+    spread over the cores; one in many files is read as it is."""
+    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _SPREAD_BY and len(rows.inputFiles()) < cores:
+        return rows.repartition(cores, _SPREAD_BY[name])
+    return rows
 
 
 def _tables(columns: Sequence[str]) -> list[str]:

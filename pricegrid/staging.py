@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER_CONF = "spark.checkpoint.dir"
 _local_folder: str | None = None
+_scopes: list[list[str]] = []
 
 
 def stage_folder(spark: SparkSession) -> str:
@@ -29,8 +32,11 @@ def stage_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{stage_folder(spark).rstrip('/')}/pricegrid/{name}-{uuid.uuid4().hex}"
+    """An unused path below the shared folder; the innermost scope owns it."""
+    path = f"{stage_folder(spark).rstrip('/')}/pricegrid/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -41,8 +47,35 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside at the end of a run.
+
+    Frames that read them cannot be used afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A one-row frame as plain values, free of the tables it was read from."""
+    return df.sparkSession.createDataFrame(df.take(1), df.schema)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(target)
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
