@@ -108,6 +108,8 @@ def merge_silver(
     with stage_scope(spark):
         batch = stage(incoming.drop("is_outlier", "outlier_reason"), "merge-batch")
         old = touched = None
+        if batch.isEmpty():
+            return settled(_change_counts(classify_changes(batch, batch)))
         if path_exists(spark, silver_path):
             old = read_silver(spark, silver_path).drop("is_outlier", "outlier_reason")
             touched = stage(touched_partitions(batch, old), "merge-partitions")
@@ -116,11 +118,7 @@ def merge_silver(
         else:
             merged = latest_lines(batch)
         changes = classify_changes(batch, batch.limit(0) if old is None else old)
-        counts = settled(
-            changes.agg(
-                *[F.count_if(F.col("change") == c).alias(c) for c in ("new", "updated", "same")]
-            )
-        )
+        counts = settled(_change_counts(changes))
         flagged = iqr_outliers(
             stage(merged, "merge-rows"), settings.iqr_multiplier, settings.min_outlier_group
         )
@@ -131,6 +129,12 @@ def merge_silver(
         return counts
 
 
+def _change_counts(changes: DataFrame) -> DataFrame:
+    return changes.agg(
+        *[F.count_if(F.col("change") == c).alias(c) for c in ("new", "updated", "same")]
+    )
+
+
 def _partition_columns(df: DataFrame) -> DataFrame:
     return silver_layout(df).select(
         "catmat", *[F.col(c).cast("int").alias(c) for c in SILVER_PARTITIONS[1:]]

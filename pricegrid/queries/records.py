@@ -23,7 +23,7 @@ from .source import PURCHASE, START_DATE, entries, mapping_sql, purchases, purch
 
 SETTINGS = Settings(start_date=START_DATE, base_period=START_DATE[:7])
 _ID = ("id_compra", "id_item_compra", "arrival")
-_PLAIN = tuple(c for c in PURCHASE if c != "update_days")
+_PLAIN = tuple(c for c in PURCHASE if c not in ("update_days", "tipo"))
 
 _REGION = " ".join(f"WHEN '{uf}' THEN '{region}'" for uf, region in REGION_BY_UF.items())
 _UFS = ", ".join(f"'{uf}'" for uf in REGION_BY_UF)

@@ -206,11 +206,11 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _merge_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = (
-        "id_compra", "id_item_compra", "codigo_item_catalogo", "descricao_item",
-        "unidade_original", "quantidade", "preco_unitario", "data_compra", "uf", "record_hash", "arrival",
+        "id_compra", "id_item_compra", "tipo", "descricao_item", "unidade_original", "quantidade",
+        "preco_unitario", "data_compra", "uf", "record_hash", "arrival",
     )
     rows = purchases(spark, sf_dir, columns).filter("data_compra IS NOT NULL")
-    rows = rows.withColumns(
+    rows = rows.withColumnRenamed("tipo", "codigo_item_catalogo").withColumns(
         {
             "record_hash": F.expr("record_hash || '-' || CAST(arrival AS STRING)"),
             "ingestion_timestamp": F.timestamp_micros("arrival"),
@@ -226,11 +226,11 @@ _MERGED = ("id_compra", "id_item_compra", "codigo_item_catalogo", "record_hash",
 @query(
     "merge_into_silver",
     f"""WITH p AS (SELECT * REPLACE (record_hash || '-' || CAST(arrival AS STRING) AS record_hash)
-      FROM ({purchases_sql((*_LINE[:4], 'record_hash', 'arrival'))})
-      WHERE data_compra IS NOT NULL AND codigo_item_catalogo IS NOT NULL)
-    SELECT id_compra, id_item_compra, codigo_item_catalogo, record_hash,
+      FROM ({purchases_sql(('id_compra', 'id_item_compra', 'tipo', 'data_compra', 'record_hash', 'arrival'))})
+      WHERE data_compra IS NOT NULL)
+    SELECT id_compra, id_item_compra, tipo AS codigo_item_catalogo, record_hash,
       strftime(data_compra, '%Y-%m') AS ano_mes, arrival FROM p
-    QUALIFY row_number() OVER (PARTITION BY id_compra, id_item_compra, codigo_item_catalogo
+    QUALIFY row_number() OVER (PARTITION BY id_compra, id_item_compra, tipo
       ORDER BY arrival DESC) = 1""",
 )
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,13 +290,13 @@ def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _series(spark.read.parquet(f"{gold_path}/{MONTHLY_TABLE}"), MONTHLY_DIMENSIONS)
 
 
-# Purchases as pages: one sequence per code, one page per order.
+# Purchases as pages: one sequence per part type, one page per order.
 @query(
     "silver_stream",
-    f"""WITH p AS ({purchases_sql(('id_compra', 'id_item_compra', 'codigo_item_catalogo', 'quantidade', 'data_compra'))})
-    SELECT DISTINCT id_compra, id_item_compra, codigo_item_catalogo,
+    f"""WITH p AS ({purchases_sql(('id_compra', 'id_item_compra', 'tipo', 'quantidade', 'data_compra'))})
+    SELECT id_compra, id_item_compra, tipo AS codigo_item_catalogo,
       strftime(data_compra, '%Y-%m') AS ano_mes, round(quantidade, 4) + 0.0 AS quantidade
-    FROM p WHERE codigo_item_catalogo IS NOT NULL AND data_compra >= TIMESTAMP '{START_DATE}'""",
+    FROM (SELECT DISTINCT * FROM p) WHERE data_compra >= TIMESTAMP '{START_DATE}'""",
 )
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to a folder, read as a stream and merged by micro-batches.
@@ -304,8 +304,8 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     Purchase lines are keyed by their quantity and date as well, so that every
     distinct record stays.
     """
-    columns = ("id_compra", "id_item_compra", "codigo_item_catalogo", "quantidade", "data_compra")
-    rows = purchases(spark, sf_dir, columns).filter("codigo_item_catalogo IS NOT NULL")
+    columns = ("id_compra", "id_item_compra", "tipo", "quantidade", "data_compra")
+    rows = purchases(spark, sf_dir, columns)
     line = F.concat_ws("-", "id_item_compra", "quantidade", F.unix_date(F.to_date("data_compra")))
     record = F.to_json(
         F.struct(
@@ -316,13 +316,13 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(1.5).alias("precoUnitario"),
         )
     )
-    pages = rows.groupBy("codigo_item_catalogo", "id_compra").agg(
+    pages = rows.groupBy("tipo", "id_compra").agg(
         F.array_join(F.array_sort(F.collect_list(record)), ",").alias("items")
     )
     folder = new_path(spark, "landing")
     pages.select(
         F.lit("run-1").alias("run_id"),
-        F.col("codigo_item_catalogo").alias("catmat"),
+        F.col("tipo").alias("catmat"),
         F.lit("INCREMENTAL").alias("extract_type"),
         F.col("id_compra").cast("int").alias("page"),
         F.lit("/precos").alias("endpoint"),

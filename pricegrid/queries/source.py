@@ -35,6 +35,7 @@ PURCHASE = {
         "part",
         "CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE replace(p_brand, 'Brand#', '') END",
     ),
+    "tipo": ("part", "p_type"),
     "descricao_item": ("part", "CASE WHEN l_orderkey % 59 = 0 THEN NULL ELSE p_name END"),
     "unidade_original": ("part", "CASE WHEN p_size <= 25 THEN 'kg' ELSE 'un' END"),
     "quantidade": ("", "CASE WHEN l_orderkey % 79 = 0 THEN 0.0E0 ELSE l_quantity END"),
