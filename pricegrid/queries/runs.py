@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..fixed_values import MONTHLY_DIMENSIONS, MONTHLY_TABLE
 from ..operators.catalogue import catalogue_mapping
@@ -330,10 +330,9 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01").cast("timestamp").alias("landed_at"),
     ).write.parquet(folder)
     silver_path = new_path(spark, "stream-silver")
-    schema = (
-        spark.createDataFrame(
-            [], "idCompra string, idItemCompra string, quantidade double, dataCompra string, precoUnitario double"
-        ).schema
+    schema = T.StructType(
+        [T.StructField(n, T.StringType()) for n in ("idCompra", "idItemCompra", "dataCompra")]
+        + [T.StructField(n, T.DoubleType()) for n in ("quantidade", "precoUnitario")]
     )
     stream_query = start_silver_stream(
         page_stream(spark, folder), schema, catalogue_mapping(entries(spark, sf_dir)),
