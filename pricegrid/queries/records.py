@@ -15,7 +15,7 @@ from ..operators.periods import period_counts, within_period
 from ..operators.quality import quality_flags, silver_checks, silver_metrics
 from ..operators.quantiles import group_quantiles
 from ..operators.units import convert_units
-from ..plans.silver import transform_silver
+from ..plans.silver import SilverResult, transform_silver
 from ..settings import Settings
 from ..staging import stage
 from .registry import DIGITS, comparable, query, rounded
@@ -342,10 +342,11 @@ SILVER_SQL = f"""{CANONICAL_SQL},
       ORDER BY arrival DESC NULLS LAST) = 1), {flagged_sql('u')}, {IQR_SQL}"""
 
 
-def silver(spark: SparkSession, sf_dir: str, staged: bool = True):
-    """The whole Silver transformation of the landed text records."""
+def silver(spark: SparkSession, sf_dir: str) -> SilverResult:
+    """The whole Silver transformation of landed text records, as a written table."""
+    bronze = stage(raw_records(spark, sf_dir), "bronze")
     mapping = catalogue_mapping(entries(spark, sf_dir))
-    return transform_silver(raw_records(spark, sf_dir), mapping, SETTINGS, staged=staged)
+    return transform_silver(bronze, mapping, SETTINGS)
 
 
 _SILVER = (

@@ -147,7 +147,8 @@ _CHANGE = (*_LINE[:4], "arrival", "record_hash")
 
 def _change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = purchases(spark, sf_dir, tuple(dict.fromkeys(_CHANGE)))
-    return rows.withColumn("record_hash", F.expr("record_hash || '-' || CAST(arrival AS STRING)"))
+    hashed = rows.withColumn("record_hash", F.expr("record_hash || '-' || CAST(arrival AS STRING)"))
+    return stage(hashed, "change-rows")
 
 
 _CHANGE_SQL = (
