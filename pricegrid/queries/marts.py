@@ -224,12 +224,25 @@ def state_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def calendar_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lags by calendar month; units of a series are kept apart."""
-    mart = monthly_mart(eligible(spark, sf_dir))
+    mart = stage(monthly_mart(eligible(spark, sf_dir)), "mart")
     return _series(
         time_indicators(mart, MONTHLY_SERIES, BASE_PERIOD, calendar=True), MONTHLY_DIMENSIONS
     )
 
 
+@query(
+    "monthly_prices_long_series",
+    f"WITH {MONTHLY_PRICES_SQL} SELECT {_series_list(MONTHLY_DIMENSIONS)} FROM mi",
+)
+def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series past a bound take the way of long ones: runs of rows that overlap."""
+    mart = stage(monthly_mart(eligible(spark, sf_dir)), "mart")
+    return _series(
+        time_indicators(mart, MONTHLY_SERIES, BASE_PERIOD, series_rows=140, run_rows=25),
+        MONTHLY_DIMENSIONS,
+    )
+
+
 @query(
     "mart_checks",
     f"""WITH {MONTHLY_SQL} SELECT count(*) AS records,

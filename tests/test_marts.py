@@ -1,3 +1,4 @@
+from functools import reduce
 from statistics import stdev
 
 import pytest
@@ -156,6 +157,24 @@ def test_windows_share_one_shuffle(spark):
     assert plan.split("Initial Plan")[0].count("Exchange") == 1
 
 
+@pytest.mark.parametrize("calendar", [False, True])
+def test_long_series_give_the_same(spark, calendar):
+    """Three units per month, gaps, null prices and a null key."""
+    points = [(m, None if i % 7 == 3 else 10.0 + (i * i) % 13) for i, m in enumerate(months(40)) if i % 11]
+    rows = reduce(
+        lambda a, b: a.unionByName(b),
+        [series(spark, points, unit=u, material=k) for k in ("M", None) for u in ("kg", None, "m")] + [series(spark, points[:3], code="2")],
+    ).repartition(3)
+    held = time_indicators(rows, KEY, "2020-05", calendar=calendar)
+    cut = time_indicators(rows, KEY, "2020-05", calendar=calendar, series_rows=50, run_rows=15)
+    order = ["codigo_item_catalogo", "material_id", "unidade_normalizada", "ano_mes"]
+    left, right = (df.orderBy(*order).collect() for df in (held, cut.select(*held.columns)))
+    assert len(left) == len(right) == len(points) * 6 + 3
+    for a, b in zip(left, right):
+        for name in held.columns:
+            assert b[name] == (pytest.approx(a[name], rel=1e-9) if isinstance(a[name], float) else a[name]), (name, a, b)
+
+
 def test_mart_checks(spark):
     mart = monthly_mart(silver(spark, [row(1.0)]))
     checks = mart_checks(mart).first().asDict()
