@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..settings import DataQualityError
+from ..staging import stage
 
 BROADCAST_ROWS = 200_000
 HOT_GROUPS = 1_000
@@ -55,6 +56,8 @@ def attach_groups(
     if weight is None:
         raise ValueError("large group tables need a weight column")
 
+    groups = stage(groups, "groups")  # read for the hot groups and for the others
+    right = groups.select(*[F.col(k).alias(f"__{k}") for k in keys], *values)
     ranked = groups.orderBy(F.col(weight).desc(), *keys).limit(HOT_GROUPS)
     hot = ranked.select(
         *[F.col(k).alias(f"__{k}") for k in keys],

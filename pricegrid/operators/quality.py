@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..fixed_values import ISSUE_CODES, REGION_BY_UF, REQUIRED_FOR_MARTS, TECHNICAL_KEY
 from ..functions.scalars import plain_number
 from ..settings import DataQualityError, SchemaError
+from .periods import period_counts
 
 
 def _positive(name: str) -> Column:
@@ -34,28 +35,29 @@ def quality_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_metrics(read: DataFrame, in_period: DataFrame, silver: DataFrame) -> DataFrame:
-    """One row: records in and out, duplicates, invalid records and outliers."""
+def silver_metrics(canonical: DataFrame, silver: DataFrame, start_date: str) -> DataFrame:
+    """One row: records in and out, duplicates, invalid records and outliers.
+
+    ``canonical`` are the typed records as read; only their dates are looked at.
+    Records of the period that are not in ``silver`` were duplicates.
+    """
     zero = F.lit(0).cast("long")
-    count = F.count(F.lit(1))
-    parts = [
-        read.agg(count.alias("records_input"), *[zero.alias(c) for c in ("kept", "records_output", "invalid_records", "outliers")]),
-        in_period.agg(zero.alias("records_input"), count.alias("kept"), *[zero.alias(c) for c in ("records_output", "invalid_records", "outliers")]),
-        silver.agg(
-            zero.alias("records_input"),
-            zero.alias("kept"),
-            count.alias("records_output"),
-            F.count_if(~F.col("is_valid_record")).alias("invalid_records"),
-            F.count_if(F.col("is_outlier")).alias("outliers"),
-        ),
-    ]
-    summed = reduce(DataFrame.unionByName, parts).agg(
-        *[F.sum(c).alias(c) for c in parts[0].columns]
+    written = ("records_output", "invalid_records", "outliers")
+    read = period_counts(canonical, start_date).select(
+        "records_input", "records_kept", *[zero.alias(c) for c in written]
+    )
+    out = silver.agg(
+        zero.alias("records_input"),
+        zero.alias("records_kept"),
+        F.count(F.lit(1)).alias("records_output"),
+        F.count_if(~F.col("is_valid_record")).alias("invalid_records"),
+        F.count_if(F.col("is_outlier")).alias("outliers"),
     )
+    summed = read.unionByName(out).agg(*[F.sum(c).alias(c) for c in read.columns])
     return summed.select(
         "records_input",
         "records_output",
-        (F.col("kept") - F.col("records_output")).alias("duplicates_removed"),
+        (F.col("records_kept") - F.col("records_output")).alias("duplicates_removed"),
         "invalid_records",
         "outliers",
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.names import snake_case_values
 from ..operators.hashes import field_hash
-from ..plans.results import all_results, extract_results, failed_materials, run_summary
+from ..plans.results import all_results, failed_materials, run_summary
 from ..sources.landed import (
     bronze_records,
     infer_record_schema,
@@ -21,7 +21,7 @@ from ..sources.landed import (
 )
 from ..sources.manifest import manifest_objects
 from ..sources.page_order import page_facts, page_status, sequence_results
-from .registry import comparable, query
+from .registry import query
 from .source import table
 
 PAGE_SIZE = 2

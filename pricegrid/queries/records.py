@@ -12,7 +12,7 @@ from ..operators.derive import derived_columns
 from ..operators.dimensions import date_dimension, eligible_materials, material_dimension
 from ..operators.outliers import iqr_outliers, percentile_outliers
 from ..operators.periods import period_counts, within_period
-from ..operators.quality import quality_flags, silver_checks, silver_metrics
+from ..operators.quality import quality_flags, silver_checks
 from ..operators.quantiles import group_quantiles
 from ..operators.units import convert_units
 from ..plans.silver import SilverResult, transform_silver
@@ -83,8 +83,8 @@ def flagged_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 # What outliers and marts need of a record.
 MART_INPUT = (
     "id_compra", "id_item_compra", "arrival", "codigo_item_catalogo", "material_id", "material",
-    "categoria_material", "unidade_normalizada", "uf", "regiao", "data_compra", "ano_mes",
-    "quantidade", "preco_normalizado", "ni_fornecedor", "codigo_orgao", "is_valid_record",
+    "categoria_material", "unidade_padrao", "unidade_normalizada", "uf", "regiao", "data_compra",
+    "ano_mes", "quantidade", "preco_normalizado", "ni_fornecedor", "codigo_orgao", "is_valid_record",
 )
 
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..fixed_values import MONTHLY_DIMENSIONS, MONTHLY_TABLE
-from ..operators.catalogue import catalogue_mapping
-from ..operators.quality import quality_flags
+from ..operators.catalogue import catalogue_mapping, enrich
 from ..operators.derive import derived_columns
-from ..operators.catalogue import enrich
-from ..operators.periods import within_period
+from ..operators.quality import quality_flags
 from ..plans.gold import run_gold
 from ..plans.incremental import (
     WATERMARK_SCHEMA,
@@ -25,12 +23,12 @@ from ..staging import new_path, stage
 from ..streaming.pages import page_stream, start_silver_stream
 from .landed import RECORD, landed_pages
 from .marts import MONTHLY_PRICES_SQL, _series, _series_list
-from .records import CANONICAL_SQL, SETTINGS, flagged_purchases, flagged_sql, iqr_outliers
-from .registry import comparable, query, rounded
+from .records import SETTINGS, flagged_purchases, flagged_sql, iqr_outliers
+from .registry import comparable, query
 from .source import START_DATE, entries, purchases, purchases_sql, table
 
-# The control table, derived from the orders' customers: codes 1..20 were loaded
-# up to a date of their own, the others never.
+# The control table, derived from the parts' brands: codes up to 20 were loaded up
+# to a date of their own, the others never.
 _MARK_DAYS = "CAST(codigo AS INT) * 60"
 _MARKS_SQL = (
     "SELECT DISTINCT replace(p_brand, 'Brand#', '') AS codigo FROM part"

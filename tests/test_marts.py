@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricegrid.operators.indicators import time_indicators
-from pricegrid.operators.marts import aggregate_prices, monthly_mart, state_mart
+from pricegrid.operators.marts import monthly_mart, state_mart
 from pricegrid.operators.price_index import weighted_index
 from pricegrid.operators.quality import (
     eligible_records,
