@@ -15,6 +15,8 @@ from ..settings import Settings
 from ..sources.tables import SILVER_PARTITIONS, read_silver, silver_layout, write_silver
 from ..staging import delete_path, path_exists, settled, stage, stage_scope
 
+LISTED_CODES = 1_000
+
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("material_id", T.StringType()),
@@ -141,10 +143,21 @@ def _partition_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def _of_codes(old: DataFrame, batch: DataFrame) -> DataFrame:
+    """Only partitions of the batch's codes, if these are few enough to list.
+
+    A purchase line includes its code, so its versions are in one of them.
+    """
+    codes = batch.select("codigo_item_catalogo").dropna().distinct().limit(LISTED_CODES + 1)
+    listed = [row[0] for row in codes.collect()]
+    return old.filter(F.col("catmat").isin(listed)) if len(listed) <= LISTED_CODES else old
+
+
 def touched_partitions(batch: DataFrame, old: DataFrame) -> DataFrame:
     """Partitions that get a record of the batch or hold a version of its lines."""
     lines = batch.select(*TECHNICAL_KEY).dropna().distinct()
-    held = old.join(lines, list(TECHNICAL_KEY), "left_semi").select(*SILVER_PARTITIONS)
+    held = _of_codes(old, batch).join(lines, list(TECHNICAL_KEY), "left_semi")
+    held = held.select(*SILVER_PARTITIONS)
     return held.unionByName(_partition_columns(batch)).distinct()
 
 
