@@ -16,6 +16,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ class TreeEncoder:
         self.leaf, self.cache_size = max(1, leaf), cache
         self.cache: dict[str, tuple[bytes, str]] = {}
         self.plain_decoder = spec.get("decoder") is None
+        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
 
     def _tokens(self, piece: str, final: bool) -> list[str]:
         model = (self.last if final else self.inner).model
@@ -95,6 +97,10 @@ class TreeEncoder:
     def _is_long(self, chunk: str) -> bool:
         return len(chunk) > self.leaf and not any(s in chunk for s in self.special)
 
+    def _entry(self, ids: list[int]) -> tuple[bytes, str]:
+        names = self.names
+        return np.array(ids, "<u4").tobytes(), " ".join([names[i] for i in ids]) if self.plain_decoder else ""
+
     def learn(self, chunks: set[str]) -> None:
         """Encode the pieces that are not known yet; a full cache keeps those in use."""
         cache = self.cache
@@ -104,11 +110,9 @@ class TreeEncoder:
         short = [c for c in missing if len(c) <= self.leaf or not self._is_long(c)]
         done = self.tokenizer.encode_batch_fast(short, add_special_tokens=False)
         for chunk, e in zip(short, done, strict=True):
-            cache[chunk] = np.array(e.ids, "<u4").tobytes(), " ".join(e.tokens) if self.plain_decoder else ""
-        name = self.tokenizer.id_to_token
+            cache[chunk] = self._entry(e.ids)
         for chunk in set(missing).difference(short):
-            ids = self._long(chunk)
-            cache[chunk] = np.array(ids, "<u4").tobytes(), " ".join(map(name, ids)) if self.plain_decoder else ""
+            cache[chunk] = self._entry(self._long(chunk))
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """The ids as little-endian unsigned 32-bit integers, and the decoded text."""
@@ -134,9 +138,15 @@ def groups(texts: list[str], size: int = 4_000_000) -> Iterator[list[str]]:
         yield part
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str, leaf: int) -> TreeEncoder:
+    """One encoder for all tasks of a Python worker, so its memory stays warm."""
+    return TreeEncoder(path, leaf)
+
+
 def _encode_batches(path: str, leaf: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TreeEncoder(path, leaf)
+        encoder = _encoder(path, leaf)
         for batch in batches:
             done = []
             for part in groups([t or "" for t in batch["text"].to_pylist()]):
