@@ -10,8 +10,12 @@ one read answers access, counting and occurrence lookups.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,10 @@ from .wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 6_000_000  # a shard is closed at the first document that passes it
-CACHE = 300_000
+CACHE = 600_000  # distinct pieces a Python worker remembers
+
+_BLANKS = ("  ", " \t", " \n", " \x0b", " \x0c", " \r")
+_WIDE_BLANK = re.compile(" [\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 SHARD_SCHEMA = (
     "part int, seq int, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>,"
@@ -36,9 +43,9 @@ SHARD_SCHEMA = (
 class WordEncoder:
     """Ids of a text, piece by piece with a memory for pieces.
 
-    With the byte-level pre-tokenizer a single space before other text always
-    starts a token, so a text can be cut there. Texts where spaces meet each other
-    or an edge, or that hold a special token, are encoded whole.
+    With the byte-level pre-tokenizer a space before other text always starts a
+    token, so a text can be cut there. Texts where a space stands at an edge or before
+    other white space, or that hold a special token, are encoded whole.
     """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
@@ -53,10 +60,15 @@ class WordEncoder:
         self.kind = "<u2" if self.width <= 16 else "<u4"
 
     def _whole(self, text: str) -> bool:
-        return "  " in text or text[:1] == " " or text[-1:] == " " or any(s in text for s in self.special)
+        if text[:1] == " " or text[-1:] == " " or any(s in text for s in self.special):
+            return True
+        blank = any(pair in text for pair in _BLANKS)
+        return blank or not text.isascii() and _WIDE_BLANK.search(text) is not None
 
     def _run(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        if sys.byteorder == "little" and self.kind == "<u2":
+            return [array("H", e.ids).tobytes() for e in done]
         return [np.array(e.ids, self.kind).tobytes() for e in done]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -96,9 +108,15 @@ def _shard(seq: int, ids: list[bytes], doc_ids: list[int | None], kind: str, wid
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values.values()], list(values))
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker, so its memory stays warm."""
+    return WordEncoder(path)
+
+
 def _write_batches(path: str, shard_tokens: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = _encoder(path)
         end = np.array([end_id], encoder.kind).tobytes()
         size = len(end)
         ids: list[bytes] = []
