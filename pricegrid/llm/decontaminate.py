@@ -156,6 +156,38 @@ def _slices(items: DataFrame, size: int, nodes: int) -> list[list[tuple[str | No
     ]
 
 
+def _items(benchmark: DataFrame, item_key: str, item_text: str) -> DataFrame:
+    return benchmark.select(
+        F.col(f"`{item_key}`").cast("string").alias("item_id"), F.col(f"`{item_text}`").alias("text")
+    )
+
+
+def _clean_batches(items: list[tuple[str | None, str | None]], text: str, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(items, size)
+        for batch in batches:
+            words = map(words_of, batch[text].to_pylist())
+            hit = [bool(w and automaton and _scan(automaton, w)[0]) for w in words]
+            yield batch.filter(pa.array([not h for h in hit], pa.bool_()))
+
+    return run
+
+
+def clean_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    nodes: int = NODES,
+) -> DataFrame:
+    """The documents in which no window of an item occurs, with all their columns."""
+    for part in _slices(_items(benchmark, item_key, item_text), window, nodes):
+        docs = docs.mapInArrow(_clean_batches(part, text, window), docs.schema)
+    return docs
+
+
 def contaminated_spans(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -174,9 +206,6 @@ def contaminated_spans(
     without an id hits words but is not listed. Repeated documents each get a row.
     Other columns of either table are ignored.
     """
-    items = benchmark.select(
-        F.col(f"`{item_key}`").cast("string").alias("item_id"), F.col(f"`{item_text}`").alias("text")
-    )
     out = texts(docs, key, text).select(
         "doc_id",
         "text",
@@ -186,7 +215,7 @@ def contaminated_spans(
     )
     kind = dict(docs.dtypes)[key]
     schema = SCHEMA.replace("doc_id bigint", f"doc_id {kind}")
-    for part in _slices(items, window, nodes):
+    for part in _slices(_items(benchmark, item_key, item_text), window, nodes):
         out = out.mapInArrow(_scan_batches(part, window), schema)
     return out.mapInArrow(
         _result,
