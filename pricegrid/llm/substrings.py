@@ -36,8 +36,8 @@ from .textbytes import Powers, flat, mixed, prefix_hash
 
 LENGTH = 400
 GRAM = 48
-HOT = 500
-BLOCK = 1 << 21  # bytes of text looked at together
+HOT = 4_000
+BLOCK = 1 << 20  # bytes of text looked at together
 OWNER_SEGMENTS = 10_000  # segments an owner of anchors merges, on average
 _PLACE = np.uint64((1 << 24) - 1)
 SEGMENT = "d bigint, k bigint, p0 int, a int, p1 int, ah bigint, ch bigint"
@@ -162,31 +162,31 @@ def _run_batches(owners: int, length: int):
     return run
 
 
-def _agreement(order: list[int], shares: list[int]) -> np.ndarray:
-    """Shared prefixes of all pairs from those of neighbours in sorted order."""
-    m = len(order)
-    out = np.zeros((m, m), np.int32)
-    near = np.array(shares, np.int32)
-    for i in range(m - 1):
-        out[i, i + 1 :] = np.minimum.accumulate(near[i + 1 :])
-    out = np.maximum(out, out.T)
-    back = np.empty(m, np.int64)
-    back[order] = np.arange(m)
-    return out[np.ix_(back, back)]
+def _agreement(near: np.ndarray, i: int) -> np.ndarray:
+    """Prefixes that the i-th of sorted strings shares with each of them, from those
+    that neighbours share; none with itself."""
+    out = np.zeros(len(near), np.int32)
+    out[i + 1 :] = np.minimum.accumulate(near[i + 1 :])
+    out[:i] = np.minimum.accumulate(near[i:0:-1])[::-1]
+    return out
 
 
 def _covered(group: list[tuple[bytes, int, bytes, int]], length: int) -> Iterator[tuple[int, int, int]]:
     """(ch, bytes before the anchor, bytes from it on) of covered segments; the group
     is in order, each with the prefix shared with the one before."""
     m = len(group)
-    after = _agreement(list(range(m)), [g[3] for g in group])
+    after = np.array([g[3] for g in group], np.int32)
     order = sorted(range(m), key=lambda i: group[i][2])
-    shares = [0] + [shared_prefix(group[order[i - 1]][2], group[order[i]][2]) for i in range(1, m)]
-    before = _agreement(order, shares)
+    shares = [shared_prefix(group[order[i - 1]][2], group[order[i]][2]) for i in range(1, m)]
+    before = np.array([0, *shares], np.int32)
+    back = np.empty(m, np.int64)
+    back[order] = np.arange(m)
     ch = np.array([g[1] for g in group], np.int64)
-    both = (after + before >= length) & (ch[:, None] != ch[None, :])
-    for i in np.flatnonzero(both.any(1)):
-        yield int(ch[i]), int(before[i][both[i]].max()), int(after[i][both[i]].max())
+    for i in range(m):
+        high, low = _agreement(after, i), _agreement(before, int(back[i]))[back]
+        both = (high + low >= length) & (ch != ch[i])
+        if both.any():
+            yield int(ch[i]), int(low[both].max()), int(high[both].max())
 
 
 def _merge_owner(length: int):
@@ -342,7 +342,10 @@ def repeated_spans(
                 .groupBy("ah", "ch")
                 .agg(F.max("l").alias("low"), (length - F.min("l")).alias("high"))
             )
-    cover = cover.groupBy("ah", "ch").agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    # Written, so that the join below is free to split segments with very many copies.
+    cover = written(
+        cover.groupBy("ah", "ch").agg(F.max("low").alias("low"), F.max("high").alias("high")), "cover"
+    )
     spans = written(
         found.join(cover, ["ah", "ch"])
         .select("d", "k", F.struct((F.col("a") - F.col("low")).alias("s"), (F.col("a") + F.col("high")).alias("e")).alias("span"))
