@@ -294,9 +294,9 @@ def _labelled(keyed: DataFrame, small: int) -> DataFrame:
 
     many = met.where(F.col("m") > small)
     score = many.groupBy("node").agg(F.sum("m").alias("score"))
-    pivots = many.join(score, "node").groupBy("bucket").agg(
-        F.max(F.struct("score", "node", "n")).alias("top")
-    ).select("bucket", F.col("top.node").alias("pivot"), F.col("top.n").alias("n2"))
+    tops = many.join(score, "node").groupBy("bucket").agg(F.max(F.struct("score", "node", "n")).alias("top"))
+    # Written, so that the join below is free to split a large bucket.
+    pivots = written(tops.select("bucket", F.col("top.node").alias("pivot"), F.col("top.n").alias("n2")), "pivots")
     stars = written(
         many.join(pivots, "bucket")
         .where(F.col("node") != F.col("pivot"))
