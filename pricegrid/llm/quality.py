@@ -29,6 +29,7 @@ ERROR = 0.01  # relative error of a sketched quantile
 FACTOR = 4.0
 MIN_GROUP = 100
 
+COUNTS = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Metric: its value from the counts, and the least spread of a fence.
 METRICS = {
     "word_length": ("word_chars / n_words", 0.5),
@@ -220,10 +221,7 @@ def judged(
     return _judged(chosen, min_group).select(
         "doc_id",
         "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
+        *COUNTS,
         "base_failed",
         "kept",
         *METRICS,

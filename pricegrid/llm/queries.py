@@ -15,6 +15,7 @@ from . import (
     secrets,
     substrings,
     tokenfile,
+    twins,
     url_lists,
 )
 from .common import query, read
@@ -28,10 +29,10 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(shards)
 
 
-@query("op7_decontamination")
+@query("op7_decontamination", twins.decontamination_twin())
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_spans(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
-        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
 
 
@@ -40,17 +41,19 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op5_adaptive_quality")
+@query("op5_adaptive_quality", twins.quality_twin())
 def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(read(spark, sf_dir, "documents"))
+    return quality.judged(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", *quality.COUNTS, "base_failed", "kept"
+    )
 
 
-@query("op9_secret_index")
+@query("op9_secret_index", twins.secrets_twin())
 def op9_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_counts(read(spark, sf_dir, "documents"))
 
 
-@query("op4_min_max_near_duplicates")
+@query("op4_min_max_near_duplicates", twins.near_duplicates_twin())
 def op4_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(read(spark, sf_dir, "documents"))
 
