@@ -1,9 +1,9 @@
 """Joins that hold up when one key has a large share of the rows.
 
 A right side is broadcast only below a row bound that the caller has measured.
-Beyond it, the groups with most rows (a fixed number of them) are joined by
-broadcast and their rows are spread over the shuffle, so that no task receives
-one whole group.
+Beyond it, groups with more than an even share of the rows, of which there can
+only be as many as shares, are joined by broadcast and their rows are spread over
+the shuffle, so that no task receives one whole large group.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from ..settings import DataQualityError
 from ..staging import stage
 
 BROADCAST_ROWS = 200_000
-HOT_GROUPS = 1_000
 SPREAD = 4_096
 
 
@@ -58,8 +57,8 @@ def attach_groups(
 
     groups = stage(groups, "groups")  # read for the hot groups and for the others
     right = groups.select(*[F.col(k).alias(f"__{k}") for k in keys], *values)
-    ranked = groups.orderBy(F.col(weight).desc(), *keys).limit(HOT_GROUPS)
-    hot = ranked.select(
+    share = groups.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0] // SPREAD
+    hot = groups.filter(F.col(weight) > share).select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         F.struct(*values).alias("__hot"),
     )
@@ -101,11 +100,12 @@ def attach_dimension(
 ) -> DataFrame:
     """Left join to a table with one row per ``key``; null keys match nothing.
 
-    The dimension is counted first, unless the caller knows its ``size``. Beyond
-    the bound every code of ``rows``, known or not, is weighed so that hot ones
-    can be spread.
+    A key that repeats is an error, as it would multiply rows. The dimension is
+    counted first, unless the caller knows its ``size``. Beyond the bound every
+    code of ``rows``, known or not, is weighed so that hot ones can be spread.
     """
     known = dimension.filter(F.col(key).isNotNull())
+    require_unique(known, [key])
     if (bounded_size(dimension, broadcast_rows) if size is None else size) <= broadcast_rows:
         return rows.join(F.broadcast(known), key, "left")
     weights = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))

@@ -8,15 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..fixed_values import TECHNICAL_KEY
-from ..operators.dedup import deduplicate, keep_last
-from ..operators.joins import BROADCAST_ROWS, attach_dimension
+from ..operators.dedup import RECENCY, keep_last
+from ..operators.joins import BROADCAST_ROWS, attach_dimension, bounded_size, comparable_columns
 from ..operators.outliers import iqr_outliers
-from ..settings import Settings
+from ..settings import Settings, require_utc
 from ..sources.tables import SILVER_PARTITIONS, read_silver, silver_layout, write_silver
 from ..staging import delete_path, path_exists, settled, stage, stage_scope
 
-LISTED_CODES = 1_000
-
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("material_id", T.StringType()),
@@ -44,56 +42,78 @@ def since_watermark(
 ) -> DataFrame:
     """Records from their code's watermark on, less the days looked back.
 
-    A code without a watermark is not restricted. ``watermarks`` has
-    ``codigo_catmat`` and ``watermark``.
+    A code without a watermark is not restricted, and a record without any date
+    stays, for the flags to mark it. ``watermarks`` has ``codigo_catmat`` and
+    ``watermark``.
     """
     marks = watermarks.select(F.col("codigo_catmat").alias(code), F.col("watermark").alias("__mark"))
     at = change_time() if time is None else time
     start = F.col("__mark") - F.make_dt_interval(F.lit(lookback_days))
     joined = attach_dimension(df, marks, code)
-    return joined.filter(F.col("__mark").isNull() | (at >= start)).select(*df.columns)
+    return joined.filter(F.col("__mark").isNull() | at.isNull() | (at >= start)).select(*df.columns)
+
+
+def _keyed() -> Column:
+    return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in TECHNICAL_KEY))
+
+
+def _content(columns: Sequence[str]) -> list[str]:
+    """Columns that say what a record is, not when and how it arrived."""
+    arrival = {*RECENCY, "is_outlier", "outlier_reason", "catmat"}
+    return sorted(c for c in columns if c not in arrival and not c.startswith("_"))
+
+
+def _identity(columns: Sequence[str]) -> Column:
+    """A record's hash; without hash and full key, a digest of its content."""
+    content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)
+    return F.coalesce("record_hash", F.when(~_keyed(), F.concat(F.lit("#"), content)))
+
+
+def _line() -> Column:
+    return F.when(_keyed(), F.struct(*[F.col(k) for k in TECHNICAL_KEY]))
 
 
 def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Add ``change``: ``same`` hash, ``updated`` purchase line, or ``new``.
+    """Add ``change``: ``same`` record, ``updated`` purchase line, or ``new``.
 
-    Hashes and lines are made unique on the right before each join, and rows
-    that cannot match are kept out of it, so nulls do not gather in one task.
+    A record is the same by its hash; one without hash and full key by its content.
+    The right sides are made unique, and a row that cannot match carries a number of
+    its own, so nulls do not gather in one task.
     """
-    known_hash = existing.select(F.col("record_hash").alias("__hash")).filter("__hash IS NOT NULL")
-    hashed = incoming.filter("record_hash IS NOT NULL")
-    on_hash = hashed["record_hash"] == F.col("__hash")
-    known_hash = known_hash.distinct()
-    same = hashed.join(known_hash, on_hash, "left_semi").withColumn("change", F.lit("same"))
-    other = hashed.join(known_hash, on_hash, "left_anti").unionByName(
-        incoming.filter("record_hash IS NULL")
-    )
-    line = [F.col(k).alias(f"__{k}") for k in TECHNICAL_KEY]
-    known_line = existing.select(*line).dropna().distinct().withColumn("__known", F.lit(True))
-    keyed = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in TECHNICAL_KEY))
-    match = [F.col(k) == F.col(f"__{k}") for k in TECHNICAL_KEY]
-    marked = other.filter(keyed).join(known_line, match, "left").withColumn(
-        "change", F.when(F.col("__known"), "updated").otherwise("new")
+    shared = _content([c for c in incoming.columns if c in existing.columns])
+    own = F.xxhash64(*[F.col(c) for c in comparable_columns(incoming)]).cast("string")
+    no_line = F.struct(F.concat(F.lit("?"), own).alias(TECHNICAL_KEY[0]), *[F.lit("").alias(k) for k in TECHNICAL_KEY[1:]])
+    records = existing.select(_identity(shared).alias("__id")).dropna().distinct()
+    lines = existing.select(_line().alias("__line")).dropna().distinct()
+    marked = (
+        incoming.withColumns(
+            {
+                "__id": F.coalesce(_identity(shared), F.concat(F.lit("?"), own)),
+                "__line": F.coalesce(_line(), no_line),
+            }
+        )
+        .join(records.withColumn("__same", F.lit(True)), "__id", "left")
+        .join(lines.withColumn("__known", F.lit(True)), "__line", "left")
     )
-    unkeyed = other.filter(~keyed).withColumn("change", F.lit("new"))
-    columns = [*incoming.columns, "change"]
-    return same.unionByName(marked.select(*columns)).unionByName(unkeyed)
+    change = F.when(F.col("__same"), "same").when(F.col("__known"), "updated").otherwise("new")
+    return marked.select(*incoming.columns, change.alias("change"))
 
 
 def latest_lines(df: DataFrame, order: Sequence[Column | str] | None = None) -> DataFrame:
-    """One version per record hash, then the latest per purchase line.
+    """One version per record, then the latest per purchase line.
 
-    Records without a hash, or without a full key, all stay.
+    Records without a hash and without a full key are told apart by their content.
     """
-    once = deduplicate(df, keys=["record_hash"], order=order, null_hash="keep")
-    keyed = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in TECHNICAL_KEY))
-    latest = keep_last(once.filter(keyed), TECHNICAL_KEY, order)
-    return latest.unionByName(once.filter(~keyed))
+    known = df.withColumn("__id", _identity(_content(df.columns)))
+    once = keep_last(known.filter("__id IS NOT NULL"), ["__id"], order)
+    once = once.unionByName(known.filter("__id IS NULL")).drop("__id")
+    latest = keep_last(once.filter(_keyed()), TECHNICAL_KEY, order)
+    return latest.unionByName(once.filter(~_keyed()))
 
 
 def _in_partitions(df: DataFrame, touched: DataFrame) -> DataFrame:
     """Rows in the touched partitions; broadcast lets Spark prune files."""
-    few = touched.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = bounded_size(touched) <= BROADCAST_ROWS
     return df.join(F.broadcast(touched) if few else touched, list(SILVER_PARTITIONS), "left_semi")
 
 
@@ -107,6 +127,7 @@ def merge_silver(
     from whole groups. Running the same batch again changes nothing. Returns one
     row: how many records were new, updated and the same.
     """
+    require_utc(spark)
     with stage_scope(spark):
         batch = stage(incoming.drop("is_outlier", "outlier_reason"), "merge-batch")
         old = touched = None
@@ -114,12 +135,13 @@ def merge_silver(
             return settled(_change_counts(classify_changes(batch, batch)))
         if path_exists(spark, silver_path):
             old = read_silver(spark, silver_path).drop("is_outlier", "outlier_reason")
-            touched = stage(touched_partitions(batch, old), "merge-partitions")
+            touched = stage(touched_partitions(batch, old), "merge-partitions").filter("catmat > ''")
             before = _in_partitions(old, touched).drop("catmat")
             merged = latest_lines(before.unionByName(batch, allowMissingColumns=True))
         else:
             merged = latest_lines(batch)
-        changes = classify_changes(batch, batch.limit(0) if old is None else old)
+        # Records and lines of the batch are only found in the touched partitions.
+        changes = classify_changes(batch, batch.limit(0) if old is None else before)
         counts = settled(_change_counts(changes))
         flagged = iqr_outliers(
             stage(merged, "merge-rows"), settings.iqr_multiplier, settings.min_outlier_group
@@ -144,13 +166,13 @@ def _partition_columns(df: DataFrame) -> DataFrame:
 
 
 def _of_codes(old: DataFrame, batch: DataFrame) -> DataFrame:
-    """Only partitions of the batch's codes, if these are few enough to list.
+    """Only partitions of the batch's codes; a broadcast lets Spark prune files.
 
     A purchase line includes its code, so its versions are in one of them.
     """
-    codes = batch.select("codigo_item_catalogo").dropna().distinct().limit(LISTED_CODES + 1)
-    listed = [row[0] for row in codes.collect()]
-    return old.filter(F.col("catmat").isin(listed)) if len(listed) <= LISTED_CODES else old
+    codes = batch.select(F.col("codigo_item_catalogo").alias("catmat")).filter("catmat > ''").distinct()
+    few = bounded_size(codes) <= BROADCAST_ROWS
+    return old.join(F.broadcast(codes) if few else codes, "catmat", "left_semi")
 
 
 def touched_partitions(batch: DataFrame, old: DataFrame) -> DataFrame:
@@ -172,12 +194,19 @@ def _drop_emptied(spark: SparkSession, path: str, touched: DataFrame, final: Dat
 
 
 def advance_watermarks(
-    watermarks: DataFrame, records: DataFrame, results: DataFrame, run_at: Column
+    watermarks: DataFrame,
+    records: DataFrame,
+    results: DataFrame,
+    run_at: Column,
+    run_id: str | None = None,
 ) -> DataFrame:
     """New control table: codes that succeeded move on, the others stay put.
 
+    Of a table of many runs' results, ``run_id`` names the one that counts.
     Watermarks never move back. Codes are merged by grouping, not by a join.
     """
+    if run_id is not None:
+        results = results.filter(F.col("run_id") == run_id)
     codes = results.groupBy("catmat").agg(F.min("status").alias("status"))
     succeeded = codes.filter("status = 'SUCCESS'").select(F.col("catmat").alias("codigo_catmat"))
     seen = records.groupBy(F.col("codigo_item_catalogo").alias("codigo_catmat")).agg(

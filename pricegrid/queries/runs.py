@@ -69,7 +69,7 @@ _UPDATED_SQL = (
 def _since_twin(days: int) -> str:
     return f"""WITH {_UPDATED_SQL} SELECT id_compra, id_item_compra, codigo_item_catalogo, arrival
     FROM p LEFT JOIN w ON codigo_item_catalogo = codigo
-    WHERE mark IS NULL OR changed >= mark - to_days({days})"""
+    WHERE mark IS NULL OR changed IS NULL OR changed >= mark - to_days({days})"""
 
 
 @query("since_watermark", _since_twin(0))

@@ -86,17 +86,10 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
     " value double, props string",
 }
-_SPREAD_BY = {"lineitem": "l_orderkey", "events": "event_id"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A fact table in fewer files than there are cores is
-    spread over the cores; one in many files is read as it is."""
-    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD_BY and len(rows.inputFiles()) < cores:
-        return rows.repartition(cores, _SPREAD_BY[name])
-    return rows
+    """A driver table, dealt over the cores as its files and row groups allow."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _tables(columns: Sequence[str]) -> list[str]:

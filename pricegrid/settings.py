@@ -30,6 +30,13 @@ class Settings:
     jdbc_batch: int = 1000
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Raise unless dates are read and shown in UTC, as all results assume."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "+00:00", "Z"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the results rely on (UTC) and AQE on."""
     builder = SparkSession.builder.appName(app_name)

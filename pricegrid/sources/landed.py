@@ -1,7 +1,8 @@
 """Landed JSON pages -> records with technical columns.
 
 A page row has ``run_id, catmat, extract_type, page, endpoint, body``; ``body``
-is the response text. Bodies are parsed once, into a variant.
+is the response text. Bodies are parsed once, into a variant, and the parsed pages
+are a written table that all readers share.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..fixed_values import PAGE_INFO_KEYS, RECORD_KEYS, SOURCE_LABEL, TOTAL_PAGE_KEYS
 from ..operators.hashes import variant_hash
+from ..staging import stage
 
 PAGE_SCHEMA = T.StructType(
     [
@@ -60,7 +62,7 @@ def _from_object(value: Column, depth: int) -> Column:
     """Records of an object; null when it has none or ``value`` is no object.
 
     The first record key decides whose value is a list, even an empty one, or an
-    object with records. Otherwise an object without nested values is a record.
+    object that has records. Otherwise an object without nested values is a record.
     """
 
     def from_value(v: Column) -> Column:
@@ -70,7 +72,13 @@ def _from_object(value: Column, depth: int) -> Column:
         return F.coalesce(_objects_of(v), F.when(_as_object(v).isNotNull(), marker))
 
     def from_fields(fields: Column) -> Column:
-        nested = _first_of(F.transform(_record_values(fields), from_value))
+        found = F.transform(
+            _record_values(fields),
+            lambda v: F.struct(_as_list(v).isNotNull().alias("direct"), from_value(v).alias("records")),
+        )
+        # A list decides even when it is empty, an object only by having records.
+        usable = F.filter(found, lambda x: x["records"].isNotNull() & (x["direct"] | (F.size(x["records"]) > 0)))
+        nested = F.try_element_at(usable, F.lit(1))["records"]
         plain = F.forall(
             F.map_values(fields),
             lambda v: _as_list(v).isNull() & _as_object(v).isNull(),
@@ -99,35 +107,39 @@ def total_pages(body: Column) -> Column:
 
 
 def parsed_pages(pages: DataFrame, depth: int = ENVELOPE_DEPTH) -> DataFrame:
-    """Pages with ``records``, ``declared_pages`` and a ``reject_reason``."""
+    """Pages with ``records``, ``declared_pages`` and a ``reject_reason``; only
+    rejected pages keep their ``body``."""
     parsed = pages.withColumn("__body", F.try_parse_json("body"))
     body = F.col("__body")
-    searched = parsed.withColumns(
-        {"__found": page_records(body, depth), "declared_pages": total_pages(body)}
-    )
+    searched = parsed.withColumns({"__found": page_records(body, depth), "declared_pages": total_pages(body)})
     too_deep = F.exists("__found", F.is_variant_null)
-    return searched.withColumns(
+    marked = searched.withColumns(
         {
             "records": F.filter("__found", lambda r: ~F.is_variant_null(r)),
             "reject_reason": F.when(body.isNull(), "NOT_JSON").when(too_deep, "TOO_DEEP"),
         }
-    ).drop("__body", "__found")
+    )
+    kept = F.when(F.col("reject_reason").isNotNull(), F.col("body"))
+    return stage(marked.withColumn("body", kept).drop("__body", "__found"), "pages")
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    return pages if "reject_reason" in pages.columns else parsed_pages(pages)
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    """Pages that could not be read, with the reason; the others go on."""
-    return parsed_pages(pages).filter("reject_reason IS NOT NULL").drop("records", "declared_pages")
+    """Pages that could not be read, with the reason; the others go on. Takes
+    landed pages, or those of ``parsed_pages``."""
+    return _parsed(pages).filter("reject_reason IS NOT NULL").drop("records", "declared_pages")
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """One row per record: the page's columns, ``position`` and ``record``.
 
-    Rejected pages have no records. The outer explode keeps Spark from testing
-    the array in a filter of its own, which would parse every body twice.
+    Takes landed pages, or those of ``parsed_pages``. Rejected pages have no records.
     """
-    keys = [c for c in pages.columns if c != "body"]
-    rows = parsed_pages(pages).select(*keys, F.posexplode_outer("records").alias("position", "record"))
-    return rows.filter("position IS NOT NULL")
+    keys = [c for c in pages.columns if c not in ("body", "records", "declared_pages", "reject_reason")]
+    return _parsed(pages).select(*keys, F.posexplode("records").alias("position", "record"))
 
 
 def with_metadata(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -150,12 +162,29 @@ def with_metadata(records: DataFrame, ingested_at: Column | None = None) -> Data
     )
 
 
+def _stable(kind: T.DataType) -> T.DataType | None:
+    """A type that does not depend on one load's values: numbers are doubles; what
+    has only been seen as null or empty has none."""
+    if isinstance(kind, T.NumericType):
+        return T.DoubleType()
+    if isinstance(kind, T.NullType):
+        return None
+    if isinstance(kind, T.ArrayType):
+        item = _stable(kind.elementType)
+        return None if item is None else T.ArrayType(item)
+    if isinstance(kind, T.StructType):
+        fields = [(f.name, _stable(f.dataType)) for f in kind.fields]
+        fields = [T.StructField(name, found) for name, found in fields if found is not None]
+        return T.StructType(fields) if fields else None
+    return kind
+
+
 def infer_record_schema(records: DataFrame, column: str = "record") -> T.StructType:
-    """The union of all records' fields, merged by Spark in one aggregate."""
-    found = records.agg(F.schema_of_variant_agg(column)).first()[0]
-    ddl = re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT<", "STRUCT<", found))
-    schema = T.DataType.fromDDL(ddl)
-    return schema if isinstance(schema, T.StructType) else T.StructType([])
+    """The union of all records' fields, merged by Spark in one aggregate, in types
+    that stay the same from load to load."""
+    found = records.agg(F.schema_of_variant_agg(column)).first()[0] or "VOID"
+    kind = _stable(T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", found)))
+    return kind if isinstance(kind, T.StructType) else T.StructType([])
 
 
 def flat_columns(schema: T.StructType, root: str) -> list[Column]:
@@ -180,6 +209,8 @@ def flatten_records(records: DataFrame, schema: T.StructType | None = None) -> D
     """Turn ``record`` into typed, flattened columns; technical columns stay."""
     shape = schema or infer_record_schema(records)
     rest = [c for c in records.columns if c != "record"]
+    if not shape.fields:
+        return records.select(*rest)
     typed = records.withColumn("record", F.try_variant_get("record", "$", shape.simpleString()))
     return typed.select(*flat_columns(shape, "record"), *rest)
 
@@ -187,5 +218,5 @@ def flatten_records(records: DataFrame, schema: T.StructType | None = None) -> D
 def bronze_records(
     pages: DataFrame, schema: T.StructType | None = None, ingested_at: Column | None = None
 ) -> DataFrame:
-    """Pages -> flattened source fields plus technical columns."""
+    """Landed or parsed pages -> flattened source fields plus technical columns."""
     return flatten_records(with_metadata(page_rows(pages), ingested_at), schema)

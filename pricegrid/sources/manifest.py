@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
 
-from ..settings import DataQualityError
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RESULT_DEPTH = 4
+from ..settings import DataQualityError
+from ..staging import stage
 
 
 def _named(objects: Column) -> Column:
@@ -23,29 +24,45 @@ def _named(objects: Column) -> Column:
     return F.filter(F.transform(items, name), lambda n: n.isNotNull() & (n != ""))
 
 
-def _names(result: Column, depth: int) -> Column:
-    """Own objects first, then those of nested ``results``, in order."""
-    empty = F.array().cast("array<string>")
-    own = F.coalesce(_named(F.try_variant_get(result, "$.objects", "variant")), empty)
-    if not depth:
-        return own
-    nested = F.try_variant_get(result, "$.results", "array<variant>")
-    inner = F.flatten(F.transform(nested, lambda r: _names(r, depth - 1)))
-    return F.concat(own, F.coalesce(inner, empty))
+def _children(level: DataFrame, items: Column) -> DataFrame:
+    """The next level's results, each with its path."""
+    found = level.select("__row", "__path", F.posexplode(items).alias("__at", "__result"))
+    return found.select("__row", F.concat("__path", F.array("__at")).alias("__path"), "__result")
 
 
 def manifest_objects(manifests: DataFrame, column: str = "manifest") -> DataFrame:
     """Distinct object names per manifest row, in order of first mention.
 
-    ``manifest`` is JSON text: one result, or a list of results. A name's place
-    is that of its first mention, so no list is built across manifests.
+    ``manifest`` is JSON text: one result, or a list of results. Nested results
+    are walked level by level until none is left, whatever their depth. A name's
+    path gives its place: own objects (-1) come before nested results.
     """
-    parsed = F.try_parse_json(column)
-    items = F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.array(parsed))
-    names = F.flatten(F.transform(items, lambda r: _names(r, RESULT_DEPTH)))
     keys = [c for c in manifests.columns if c != column]
-    found = manifests.select(*keys, F.posexplode(names).alias("position", "object_name"))
-    return found.groupBy(*keys, "object_name").agg(F.min("position").alias("position"))
+    rows = stage(
+        manifests.select(
+            F.struct(*[F.col(k) for k in keys]).alias("__row"),
+            F.expr("array() :: array<int>").alias("__path"),
+            F.try_parse_json(column).alias("__json"),
+        ),
+        "manifests",
+    )
+    items = F.coalesce(F.try_variant_get("__json", "$", "array<variant>"), F.array("__json"))
+    level, found = stage(_children(rows, items), "manifest-level"), []
+    while not level.isEmpty():
+        own = _named(F.try_variant_get("__result", "$.objects", "variant"))
+        names = level.select("__row", "__path", F.posexplode(own).alias("__at", "object_name"))
+        place = F.concat("__path", F.array(F.lit(-1), "__at"))
+        found.append(names.select("__row", place.alias("__path"), "object_name"))
+        nested = F.try_variant_get("__result", "$.results", "array<variant>")
+        level = stage(_children(level, nested), "manifest-level")
+    if not found:
+        none = rows.limit(0).select("__row", F.lit("").alias("object_name"), F.lit(0).alias("position"))
+        return none.select("__row.*", "object_name", "position")
+    mentions = reduce(DataFrame.unionByName, found)
+    order = Window.partitionBy("__row").orderBy("__path")  # the names of one manifest
+    placed = mentions.withColumn("__n", F.row_number().over(order) - 1)
+    first = placed.groupBy("__row", "object_name").agg(F.min("__n").alias("position"))
+    return first.select("__row.*", "object_name", "position")
 
 
 def require_objects(objects: DataFrame) -> DataFrame:

@@ -90,13 +90,14 @@ def silver_layout(silver: DataFrame) -> DataFrame:
     )
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
-    """Replace the partitions (code, year, month) that ``silver`` has rows for."""
+def write_silver(silver: DataFrame, path: str, whole: bool = False) -> None:
+    """Replace the partitions (code, year, month) that ``silver`` has rows for, or
+    the ``whole`` table."""
     (
         _spread(silver_layout(silver), SILVER_PARTITIONS)
         .sortWithinPartitions(*SILVER_PARTITIONS, F.col("data_compra").asc_nulls_last())
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)

@@ -10,12 +10,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER_CONF = "spark.checkpoint.dir"
 _local_folder: str | None = None
-_scopes: list[list[str]] = []
+# Of the running thread: a stream's batches have scopes of their own.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def stage_folder(spark: SparkSession) -> str:
@@ -34,8 +36,8 @@ def stage_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """An unused path below the shared folder; the innermost scope owns it."""
     path = f"{stage_folder(spark).rstrip('/')}/pricegrid/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     return path
 
 
@@ -53,11 +55,13 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
 
     Frames that read them cannot be used afterwards.
     """
-    _scopes.append([])
+    own: list[str] = []
+    before = _scopes.set((*_scopes.get(), own))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.reset(before)
+        for path in own:
             delete_path(spark, path)
 
 

@@ -34,6 +34,8 @@ BODIES = [
     ("null", 0, None, None),
     ("oops", 0, None, "NOT_JSON"),
     ('{"data":' * 6 + '[{"a":1}]' + "}" * 6, 0, None, "TOO_DEEP"),
+    ('{"resultado":{"items":[]},"data":[{"a":1}]}', 1, None, None),
+    ('{"data":' * 3 + '{"items":[]}' + "}" * 3, 0, None, None),
 ]
 
 
@@ -73,7 +75,7 @@ def test_nested_objects_flatten_and_lists_stay(spark):
     landed = pages(spark, ['[{"orgao":{"codigo":"7","nome":{"x":1}},"itens":[1,2]},{"orgao":null}]'])
     got = bronze_records(landed)
     assert {"orgao__codigo", "orgao__nome__x", "itens"} <= set(got.columns)
-    assert sorted(map(str, (r.itens for r in got.collect()))) == ["None", "[1, 2]"]
+    assert sorted(map(str, (r.itens for r in got.collect()))) == ["None", "[1.0, 2.0]"]
 
 
 def facts(spark, rows):
@@ -166,6 +168,36 @@ def test_manifests(spark):
         require_objects(manifest_objects(rows.filter("id = 3")))
 
 
+def test_deep_manifests(spark):
+    manifest = {"objects": ["z7"]}
+    for n in range(6, 0, -1):
+        manifest = {"results": [{"objects": [f"y{n}"]}, manifest], "objects": [f"z{n}"]}
+    rows = spark.createDataFrame([(1, json.dumps(manifest))], "id int, manifest string")
+    got = [r.object_name for r in manifest_objects(rows).orderBy("position").collect()]
+    assert got == ["z1", "y1", "z2", "y2", "z3", "y3", "z4", "y4", "z5", "y5", "z6", "y6", "z7"]
+
+
+def test_two_loads_with_other_values_are_read_together(spark, tmp_path):
+    entries = catalogue_entries(spark, [{"catmat": "00456"}])
+    bronze = str(tmp_path / "bronze")
+    for body in ('[{"p":10.5,"q":null,"l":[]}]', '[{"p":10.25,"q":7,"l":[{"x":1}]}]', '[{"p":3,"q":null,"l":[{"x":2.5}]}]'):
+        run_bronze(spark, pages(spark, [body]), entries, bronze, str(tmp_path / "results"))
+    read = read_bronze(spark, bronze).orderBy("p")
+    assert [(r.p, r.q, r.l and r.l[0].x) for r in read.collect()] == [(3.0, None, 2.5), (10.25, 7.0, 1.0), (10.5, None, None)]
+
+
+def test_results_of_codes_without_records(spark, tmp_path):
+    landed = pages(spark, ['[{"a":1}]']).unionByName(
+        spark.createDataFrame([("r1", "7", "full", 1, "/e", "[]")], PAGE_SCHEMA)
+    )
+    entries = catalogue_entries(spark, [{"catmat": "00456"}, {"catmat": "7"}, {"catmat": "8"}])
+    run_bronze(spark, landed, entries, str(tmp_path / "b"), str(tmp_path / "r"))
+    got = {r.catmat: (r.run_id, r.status, r.pages_processed, r.records_written, r.extract_type) for r in spark.read.parquet(str(tmp_path / "r")).collect()}
+    assert got == {"00456": ("r1", "SUCCESS", 1, 1, "FULL"), "7": ("r1", "SUCCESS", 1, 0, "FULL"), "8": ("r1", "SUCCESS", 0, 0, "FULL")}
+    with pytest.raises(DataQualityError):
+        run_bronze(spark, landed.withColumn("extract_type", F.lit("daily")), entries, str(tmp_path / "b"), str(tmp_path / "r"))
+
+
 def test_bronze_load_keeps_codes_as_text(spark, tmp_path):
     landed = pages(spark, ['[{"a":1},{"a":2}]', "oops"]).unionByName(
         spark.createDataFrame([("r1", "7", "full", 1, "/e", '[{"a":3}]'), ("r1", "8", "full", 1, "/e", '[{"a":4}]')], PAGE_SCHEMA)

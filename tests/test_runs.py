@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from threading import Thread
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -8,7 +9,9 @@ from pricegrid.fixed_values import AUDIT_COLUMNS, MONTHLY_TABLE, STATE_TABLE
 from pricegrid.operators.catalogue import catalogue_entries, catalogue_mapping, enrich
 from pricegrid.operators.derive import derived_columns
 from pricegrid.operators.hashes import field_hash
+from pricegrid.operators.price_index import weighted_index
 from pricegrid.operators.quality import quality_flags
+from pricegrid.operators.units import convert_units
 from pricegrid.plans.bronze import run_bronze
 from pricegrid.plans.gold import run_gold
 from pricegrid.plans.incremental import (
@@ -17,10 +20,11 @@ from pricegrid.plans.incremental import (
     classify_changes,
     merge_silver,
     since_watermark,
+    touched_partitions,
 )
 from pricegrid.plans.results import all_results, audit_rows, failed_materials, run_summary
 from pricegrid.plans.silver import run_silver, sorted_silver
-from pricegrid.settings import SchemaError, Settings
+from pricegrid.settings import DataQualityError, SchemaError, Settings
 from pricegrid.sources.database import publish
 from pricegrid.sources.landed import PAGE_SCHEMA
 from pricegrid.sources.tables import read_bronze, read_silver, write_silver, write_snapshot
@@ -101,6 +105,74 @@ def test_named_objects_only(spark, entries, tmp_path):
     objects = [r["_bronze_object"] for r in second.collect()]
     m = run_silver(spark, bronze, silver, catalogue_mapping(entries), objects, SETTINGS).first()
     assert m.records_input == 1 and rows_of(silver, spark) == [("2", "1", 1.0)]
+    first = [r["_bronze_object"] for r in read_bronze(spark, bronze).filter("_page = 1").collect()]
+    run_silver(spark, bronze, silver, catalogue_mapping(entries), first, SETTINGS)
+    assert rows_of(silver, spark) == [("1", "1", 1.0), ("2", "1", 1.0)]  # other runs' records stay
+
+
+def test_full_load_removes_what_is_gone(spark, entries, tmp_path):
+    bronze, silver, mapping = str(tmp_path / "b"), str(tmp_path / "s"), catalogue_mapping(entries)
+    write_silver(cleaned(spark, [line("5", 1.0, "2024-03-01", "a", "2024-01-01")], mapping), silver)
+    landed = spark.createDataFrame([page([record("1", "1", 1.0, "2024-01-05")])], LANDED).drop("landed_at")
+    run_bronze(spark, landed, entries, bronze, str(tmp_path / "r"), RECORD)
+    run_silver(spark, bronze, silver, mapping, settings=SETTINGS)
+    assert rows_of(silver, spark) == [("1", "1", 1.0)]
+
+
+def test_replay_without_hash_and_key_changes_nothing(spark, entries, tmp_path):
+    path, mapping = str(tmp_path / "s"), catalogue_mapping(entries)
+    loose = [("00456", "1", None, p, 1.0, "2024-01-01", None, "2024-02-01", "d", "kg", "SP") for p in (1.0, 2.0)]
+    rows = cleaned(spark, loose, mapping)
+    assert merge_silver(spark, path, rows, SETTINGS).first().asDict() == {"new": 2, "updated": 0, "same": 0}
+    again = rows.withColumn("ingestion_timestamp", F.lit("2024-03-01").cast("timestamp"))
+    assert merge_silver(spark, path, again, SETTINGS).first().asDict() == {"new": 0, "updated": 0, "same": 2}
+    assert read_silver(spark, path).count() == 2
+
+
+def test_merge_reads_only_the_codes_of_a_batch(spark, entries, tmp_path):
+    path, mapping = str(tmp_path / "s"), catalogue_mapping(entries)
+    old = [line(str(i), 1.0, "2024-01-01", f"h{i}", "2024-01-01", code=str(i)) for i in range(8)]
+    merge_silver(spark, path, cleaned(spark, old, mapping), SETTINGS)
+    batch = stage(cleaned(spark, old[:2], mapping), "batch")
+    held = touched_partitions(batch, read_silver(spark, path))
+    assert "dynamicpruning" in held._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.catmat for r in held.collect()) == ["0", "1"]
+
+
+def test_repeated_keys_of_dimensions_are_errors(spark, entries):
+    rows = cleaned(spark, [line("1", 1.0, "2024-01-01", "a", "2024-01-01")], catalogue_mapping(entries))
+    twice = catalogue_mapping(entries).filter("codigo_item_catalogo = '00456'")
+    marks = spark.createDataFrame([("00456", datetime(2024, 1, 1))] * 2, "codigo_catmat string, watermark timestamp")
+    rules = spark.createDataFrame([("kg", "t", 1.0)] * 2, "de string, para string, fator double")
+    index = spark.createDataFrame([("2024-01", "M1", 100.0)], "ano_mes string, material_id string, indice_base_100 double")
+    weights = spark.createDataFrame([("M1", 1.0)] * 2, "material_id string, peso double")
+    undated = rows.withColumn("data_hora_atualizacao_item", F.lit(None).cast("timestamp"))
+    for join in (
+        lambda: enrich(rows, twice.unionByName(twice)),
+        lambda: since_watermark(undated, marks),
+        lambda: convert_units(rows, rules),
+        lambda: weighted_index(index, weights),
+    ):
+        with pytest.raises(DataQualityError):
+            join()
+
+
+def test_scopes_belong_to_their_thread(spark):
+    kept = []
+    with stage_scope(spark):
+        worker = Thread(target=lambda: kept.append(stage(spark.range(2), "x")))
+        worker.start()
+        worker.join()
+    assert kept[0].count() == 2
+
+
+def test_other_time_zones_are_refused(spark, entries, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            run_silver(spark, str(tmp_path), str(tmp_path), catalogue_mapping(entries))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_silver_partitions_are_replaced_not_added_to(spark, entries, tmp_path):
@@ -117,11 +189,11 @@ def test_silver_partitions_are_replaced_not_added_to(spark, entries, tmp_path):
 def test_watermarks_restrict_only_known_codes(spark):
     marks = spark.createDataFrame([("1", datetime(2024, 1, 10))], "codigo_catmat string, watermark timestamp")
     rows = spark.createDataFrame(
-        [("1", "2024-01-09", 1), ("1", "2024-01-10", 2), ("2", "2020-01-01", 3), (None, "2020-01-01", 4)],
+        [("1", "2024-01-09", 1), ("1", "2024-01-10", 2), ("2", "2020-01-01", 3), (None, "2020-01-01", 4), ("1", None, 5)],
         "codigo_item_catalogo string, data_compra string, i int",
     ).withColumns({"data_compra": F.col("data_compra").cast("timestamp"), "data_hora_atualizacao_item": F.lit(None).cast("timestamp")})
-    assert sorted(r.i for r in since_watermark(rows, marks).collect()) == [2, 3, 4]
-    assert sorted(r.i for r in since_watermark(rows, marks, lookback_days=1).collect()) == [1, 2, 3, 4]
+    assert sorted(r.i for r in since_watermark(rows, marks).collect()) == [2, 3, 4, 5]
+    assert sorted(r.i for r in since_watermark(rows, marks, lookback_days=1).collect()) == [1, 2, 3, 4, 5]
 
 
 def test_watermarks_advance_on_success_only(spark):
@@ -212,9 +284,10 @@ def test_stream_equals_batch(spark, entries, tmp_path):
     folder, silver = tmp_path / "landing", str(tmp_path / "s")
     first = [page([record("1", "1", 10.0, "2024-01-05"), record("2", "1", 20.0, "2024-02-05")]), page([record("9", "1", 1.0, "2019-01-05")], number=2)]
     second = [page([record("1", "1", 10.0, "2024-01-05"), record("2", "1", 25.0, "2024-02-07"), record("3", "1", 5.0, "2024-01-09")], run="r2", at=datetime(2024, 6, 2))]
-    for pages in (first, second):
+    late = [page([record("7", "1", 3.0, "2024-02-01")], run="r0", at=datetime(2024, 3, 10))]
+    for pages in (first, second, late):
         spark.createDataFrame(pages, LANDED).coalesce(1).write.mode("append").parquet(str(folder))
         query = start_silver_stream(page_stream(spark, str(folder)), RECORD, mapping, silver, str(tmp_path / "state"), SETTINGS)
         query.awaitTermination()
         assert query.exception() is None
-    assert rows_of(silver, spark) == [("1", "1", 10.0), ("2", "1", 25.0), ("3", "1", 5.0)]
+    assert rows_of(silver, spark) == [("1", "1", 10.0), ("2", "1", 25.0), ("3", "1", 5.0), ("7", "1", 3.0)]
