@@ -21,7 +21,7 @@ def secrets_twin() -> str:
         f" string_split_regex(text, {_quoted(r.pattern)}) AS pieces FROM t"
         for order, r in enumerate(RULES)
     )
-    length = "coalesce(list_sum(list_transform({}, x -> length(x))), 0)"
+    length = "coalesce(list_sum([length(x) for x in {}]), 0)"
     shown = "kind || ':' || CAST(first AS BIGINT) || ':' || CAST(first + n AS BIGINT)"
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), m AS ({parts}),
@@ -74,7 +74,7 @@ k AS (SELECT doc_id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS key
  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) > {WINDOW})),
 again AS (SELECT doc_id, i FROM k QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1),
 rep AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS x FROM again) GROUP BY doc_id),
-lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), x -> translate(x, {blanks}, '') <> '') AS l FROM t),
+lines AS (SELECT doc_id, [x for x in string_split(text, chr(10)) if translate(x, {blanks}, '') <> ''] AS l FROM t),
 c AS (SELECT w.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(text, {blanks}, '')) AS BIGINT) AS word_chars,
   CAST(length(text) - length(translate(text, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
