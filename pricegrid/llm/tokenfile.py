@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
@@ -29,8 +28,10 @@ from .wavelet import WaveletMatrix
 
 END_ID = 0
 SHARD_TOKENS = 6_000_000  # a shard is closed at the first document that passes it
-CACHE = 600_000  # distinct pieces a Python worker remembers
+CACHE = 1_000_000  # distinct pieces a Python worker remembers
 
+_GROUP = 8_000_000  # characters encoded together
+_JOINED = 300  # pieces encoded in one string
 _BLANKS = ("  ", " \t", " \n", " \x0b", " \x0c", " \r")
 _WIDE_BLANK = re.compile(" [\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -41,11 +42,13 @@ SHARD_SCHEMA = (
 
 
 class WordEncoder:
-    """Ids of a text, piece by piece with a memory for pieces.
+    """Ids of texts, piece by piece with a memory for pieces.
 
     With the byte-level pre-tokenizer a space before other text always starts a
     token, so a text can be cut there. Texts where a space stands at an edge or before
-    other white space, or that hold a special token, are encoded whole.
+    other white space, or that hold a special token, are encoded whole. Of the cut
+    texts only pieces that are not remembered are encoded, many in one string: the
+    bytes that each token stands for tell where a piece ends.
     """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
@@ -56,8 +59,11 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         self.cache_size = cache
-        self.width = max(1, int(self.tokenizer.get_vocab_size() - 1).bit_length())
+        size = self.tokenizer.get_vocab_size()
+        self.width = max(1, int(size - 1).bit_length())
         self.kind = "<u2" if self.width <= 16 else "<u4"
+        # A character of a byte-level token stands for one byte.
+        self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
 
     def _whole(self, text: str) -> bool:
         if text[:1] == " " or text[-1:] == " " or any(s in text for s in self.special):
@@ -67,31 +73,57 @@ class WordEncoder:
 
     def _run(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        if sys.byteorder == "little" and self.kind == "<u2":
-            return [array("H", e.ids).tobytes() for e in done]
         return [np.array(e.ids, self.kind).tobytes() for e in done]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, each with a space before it."""
+        if not pieces:
+            return []
+        size = np.dtype(self.kind).itemsize
+        lines = ["".join([" " + c for c in pieces[i : i + _JOINED]]) for i in range(0, len(pieces), _JOINED)]
+        ids = b"".join(self._run(lines))
+        ends = np.cumsum([len(c.encode()) + 1 for c in pieces])
+        cuts = size * (np.searchsorted(np.cumsum(self.token_bytes[np.frombuffer(ids, self.kind)]), ends) + 1)
+        cuts = [0, *cuts.tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _remembered(self, pieces: list[str]) -> list[bytes]:
+        cache = self.cache
+        missing = [c for c in pieces if c not in cache]
+        if len(cache) + len(missing) > self.cache_size:
+            self.cache = cache = {c: cache[c] for c in pieces if c in cache}
+        cache.update(zip(missing, self._pieces(missing), strict=True))
+        return [cache[c] for c in pieces]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
+        out: list[bytes] = [b""] * len(texts)
         whole = [i for i, t in enumerate(texts) if self._whole(t)]
         for i, ids in zip(whole, self._run([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        cut = {i: texts[i].split(" ") for i in set(range(len(texts))).difference(whole)}
-        firsts, seen = {}, set()
-        for i, pieces in cut.items():
-            firsts[i] = pieces[0]
-            seen.update(pieces[1:])
-        cache = self.cache
-        missing = [c for c in seen if c not in cache]
-        if len(cache) + len(missing) > self.cache_size:
-            self.cache = cache = {c: cache[c] for c in seen if c in cache}
-        cache.update(zip(missing, self._run([" " + c for c in missing]), strict=True))
-        heads = dict(zip(firsts, self._run(list(firsts.values())), strict=True))
-        for i, pieces in cut.items():
-            out[i] = heads[i] + b"".join([cache[c] for c in pieces[1:]])
+        cut = sorted(set(range(len(texts))).difference(whole))
+        split = pc.split_pattern(pa.array([texts[i] for i in cut], pa.string()), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        coded = pc.dictionary_encode(split.flatten())
+        known = self._remembered(coded.dictionary.to_pylist())
+        heads = self._run(split.flatten().take(pa.array(bounds[:-1])).to_pylist())
+        # Words by their number; a text's first piece, which has no space, by its text's.
+        word = coded.indices.to_numpy().astype(np.int64)
+        word[bounds[:-1]] = len(known) + np.arange(len(cut))
+        taken = pa.array(known + heads, pa.large_binary()).take(pa.array(word))
+        _, ends, data = taken.buffers()
+        ids = data.to_pybytes() if data is not None else b""
+        ends = np.frombuffer(ends, np.int64)[: len(word) + 1][bounds] if len(word) else bounds
+        for i, a, b in zip(cut, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[i] = ids[a:b]
         return out
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker, so its memory stays warm."""
+    return WordEncoder(path)
+
+
 def _shard(seq: int, ids: list[bytes], doc_ids: list[int | None], kind: str, width: int) -> pa.RecordBatch:
     size = int(kind[2])
     matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), kind), width)
@@ -108,12 +140,6 @@ def _shard(seq: int, ids: list[bytes], doc_ids: list[int | None], kind: str, wid
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values.values()], list(values))
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
-    """One encoder for all tasks of a Python worker, so its memory stays warm."""
-    return WordEncoder(path)
-
-
 def _write_batches(path: str, shard_tokens: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
@@ -124,7 +150,7 @@ def _write_batches(path: str, shard_tokens: int, end_id: int):
         held = seq = 0
         for batch in batches:
             names = iter(batch["doc_id"].to_pylist())
-            for part in groups([t or "" for t in batch["text"].to_pylist()]):
+            for part in groups([t or "" for t in batch["text"].to_pylist()], _GROUP):
                 for done in encoder.encode(part):
                     ids.append(done + end)
                     keys.append(next(names))
