@@ -14,12 +14,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
@@ -27,7 +27,7 @@ from .common import texts
 
 LEAF = 48  # symbols; a power of two is not needed
 CACHE = 300_000  # distinct pieces a task remembers
-_PIECE = re.compile(r"[^\x20\x09-\x0D]+")
+_BLANKS = "[\t-\r ]+"
 
 
 class TreeEncoder:
@@ -114,14 +114,31 @@ class TreeEncoder:
         for chunk in set(missing).difference(short):
             cache[chunk] = self._entry(self._long(chunk))
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """The ids as little-endian unsigned 32-bit integers, and the decoded text."""
-        chunks = _PIECE.findall(text)
-        done = [self.cache[c] for c in chunks]
-        ids = b"".join([d[0] for d in done])
-        if self.plain_decoder:
-            return ids, " ".join([d[1] for d in done if d[0]])
-        return ids, self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
+    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Per text its ids as little-endian unsigned 32-bit integers, and the text
+        decoded from them. The texts' pieces are numbered, and each is looked up once."""
+        split = pc.split_pattern_regex(pa.array(texts, pa.string()), _BLANKS)
+        bounds = split.offsets.to_numpy()
+        coded = pc.dictionary_encode(split.flatten())
+        pieces = coded.dictionary.to_pylist()  # an empty one where a text has blank edges
+        self.learn(set(pieces))
+        known = [self.cache[c] for c in pieces]
+        ids = _strung([k[0] for k in known], coded.indices, bounds)
+        if not self.plain_decoder:
+            decode = self.tokenizer.decode
+            return [(i, decode(np.frombuffer(i, "<u4").tolist(), skip_special_tokens=False)) for i in ids]
+        shown = _strung([k[1].encode() + b" " if k[0] else b"" for k in known], coded.indices, bounds)
+        return [(i, s[:-1].decode()) for i, s in zip(ids, shown, strict=True)]
+
+
+def _strung(values: list[bytes], numbers: pa.Array, bounds: np.ndarray) -> list[bytes]:
+    """The values of consecutive numbers in one string for each range of numbers."""
+    taken = pa.array(values, pa.large_binary()).take(numbers)
+    _, ends, data = taken.buffers()
+    if not len(taken) or data is None:
+        return [b""] * (len(bounds) - 1)
+    ends, data = np.frombuffer(ends, np.int64)[bounds].tolist(), data.to_pybytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def groups(texts: list[str], size: int = 4_000_000) -> Iterator[list[str]]:
@@ -150,11 +167,7 @@ def _encode_batches(path: str, leaf: int):
         for batch in batches:
             done = []
             for part in groups([t or "" for t in batch["text"].to_pylist()]):
-                chunks: set[str] = set()
-                for text in part:
-                    chunks.update(_PIECE.findall(text))
-                encoder.learn(chunks)
-                done += [encoder.encode(t) for t in part]
+                done += encoder.encode(part)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.string())],
                 ["doc_id", "ids", "decoded"],
