@@ -191,7 +191,8 @@ def _judged(chosen: DataFrame, min_group: int) -> DataFrame:
     """Rows (text, lang, source and anything else) without the text, with the counts,
     ``base_failed``, the metrics, their fences and ``kept``."""
     measured = written(text_counts(chosen).drop("text").withColumn("base_failed", base_failed()), "quality")
-    limits = thresholds(measured.where(~F.col("base_failed")), "lang", "source", min_group)
+    # Written, so that Spark knows the table's size before it chooses the join.
+    limits = written(thresholds(measured.where(~F.col("base_failed")), "lang", "source", min_group), "fences")
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = measured.join(
         limits, measured["lang"].eqNullSafe(limits["_lang"]) & measured["source"].eqNullSafe(limits["_source"]), "left"
