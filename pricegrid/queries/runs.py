@@ -8,6 +8,7 @@ from ..fixed_values import MONTHLY_DIMENSIONS, MONTHLY_TABLE
 from ..operators.catalogue import catalogue_mapping, enrich
 from ..operators.derive import derived_columns
 from ..operators.quality import quality_flags
+from ..plans.bronze import run_bronze
 from ..plans.gold import run_gold
 from ..plans.incremental import (
     WATERMARK_SCHEMA,
@@ -17,6 +18,7 @@ from ..plans.incremental import (
     since_watermark,
 )
 from ..plans.results import audit_rows
+from ..plans.silver import run_silver
 from ..sources.tables import read_bronze, read_silver, write_bronze, write_silver
 from ..sources.landed import bronze_records
 from ..staging import new_path, stage
@@ -344,3 +346,58 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             "id_compra", item.alias("id_item_compra"), "codigo_item_catalogo", "ano_mes", "quantidade"
         )
     )
+
+
+# Purchases as pages of two runs: orders that 3 divides are in both of them.
+_RUN_COLUMNS = ("id_compra", "id_item_compra", "codigo_item_catalogo", "quantidade", "preco_unitario", "data_compra", "arrival")
+_RUNS = {"run-1": "CAST(id_compra AS BIGINT) % 2 = 0 OR CAST(id_compra AS BIGINT) % 3 = 0"}
+_RUNS["run-2"] = "CAST(id_compra AS BIGINT) % 2 = 1 OR CAST(id_compra AS BIGINT) % 3 = 0"
+
+
+def _run_pages(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    record = F.to_json(
+        F.struct(
+            F.col("id_compra").alias("idCompra"),
+            F.concat_ws("-", "id_item_compra", "arrival", F.col("quantidade").cast("int")).alias("idItemCompra"),
+            "quantidade",
+            F.col("preco_unitario").alias("precoUnitario"),
+            F.date_format("data_compra", "yyyy-MM-dd").alias("dataCompra"),
+        )
+    )
+    rows = purchases(spark, sf_dir, _RUN_COLUMNS).filter(_RUNS[run])
+    pages = rows.groupBy("codigo_item_catalogo", "id_compra").agg(
+        F.array_join(F.array_sort(F.collect_list(record)), ",").alias("items")
+    )
+    return pages.select(
+        F.lit(run).alias("run_id"),
+        F.col("codigo_item_catalogo").alias("catmat"),
+        F.lit("incremental").alias("extract_type"),
+        F.col("id_compra").cast("int").alias("page"),
+        F.lit("/precos").alias("endpoint"),
+        F.concat(F.lit('{"dados":{"items":[]},"resultado":['), "items", F.lit("]}")).alias("body"),
+    )
+
+
+@query(
+    "silver_load_two_runs",
+    f"""SELECT DISTINCT id_compra, id_item_compra || '-' || arrival || '-' || CAST(quantidade AS INT) AS id_item_compra, codigo_item_catalogo,
+      strftime(data_compra, '%Y-%m') AS ano_mes, round(quantidade, 4) + 0.0 AS quantidade,
+      round(preco_unitario, 4) + 0.0 AS preco_unitario FROM ({purchases_sql(_RUN_COLUMNS)})
+    WHERE data_compra >= TIMESTAMP '{START_DATE}' AND codigo_item_catalogo NOT IN ('24', '25')""",
+)
+def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two Bronze loads without a given schema, each loaded into Silver by its own
+    files; the second must keep what the first has brought."""
+    bronze, silver = new_path(spark, "runs-bronze"), new_path(spark, "runs-silver")
+    catalogue = entries(spark, sf_dir)
+    mapping = catalogue_mapping(catalogue)
+    for run in _RUNS:
+        run_bronze(spark, _run_pages(spark, sf_dir, run), catalogue, bronze, new_path(spark, "runs-results"))
+        of_run = read_bronze(spark, bronze).filter(F.col("_pipeline_run_id") == run)
+        names = [x[0] for x in of_run.select("_bronze_object").distinct().collect()]
+        run_silver(spark, bronze, silver, mapping, names, SETTINGS)
+    return comparable(
+        read_silver(spark, silver).select(
+            "id_compra", "id_item_compra", "codigo_item_catalogo", "ano_mes", "quantidade", "preco_unitario"
+        )
+    )
