@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import importable, written
 from .components import components
 from .textbytes import LOWER, Powers, flat, mixed, word_hashes
 
@@ -226,6 +226,7 @@ def _settled_links(stars: DataFrame, links: DataFrame, keyed: DataFrame) -> Data
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (doc_id, text, text_key); the key is the id, or a hash of the text without one."""
+    importable(docs.sparkSession)
     keyed = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     return keyed.withColumn("text_key", F.coalesce("doc_id", F.xxhash64("text")))
 
