@@ -40,6 +40,8 @@ HOT = 4_000
 BLOCK = 1 << 20  # bytes of text looked at together
 OWNER_SEGMENTS = 10_000  # segments an owner of anchors merges, on average
 _PLACE = np.uint64((1 << 24) - 1)
+_TIMES = 0x9E3779B97F4A7C15
+_BACK = pow(_TIMES, -1, 1 << 64)
 SEGMENT = "d bigint, k bigint, p0 int, a int, p1 int, ah bigint, ch bigint"
 
 
@@ -125,6 +127,17 @@ def _segment_batches(length: int, gram: int):
     return run
 
 
+def _spread(ah: int) -> int:
+    """An anchor's hash dealt evenly over 64 bits; as the smallest of many it is small."""
+    return ah * _TIMES % (1 << 64)
+
+
+def _gathered(spread: int) -> int:
+    """The signed hash that ``_spread`` has dealt."""
+    ah = spread * _BACK % (1 << 64)
+    return ah - (1 << 64) if ah >> 63 else ah
+
+
 def _run_batches(owners: int, length: int):
     """Front-coded sorted runs, one for each owner, of the wanted segments."""
 
@@ -134,7 +147,7 @@ def _run_batches(owners: int, length: int):
             for text, wanted in zip(batch["text"].to_pylist(), batch["wanted"].to_pylist(), strict=True):
                 raw = text.encode()
                 for w in wanted:
-                    anchor = w["ah"] & ((1 << 64) - 1)
+                    anchor = _spread(w["ah"])
                     key = anchor.to_bytes(8, "big") + raw[w["a"] : w["p1"] + length]
                     rows.append((anchor * owners >> 64, key, w["ch"], raw[w["p0"] : w["a"]][::-1]))
             rows.sort()
@@ -199,8 +212,8 @@ def _merge_owner(length: int):
 
         def close() -> None:
             if len(group) > 1:
-                signed = int.from_bytes(anchor, "big", signed=True)
-                out.extend((signed, *c) for c in _covered(group, length))
+                ah = _gathered(int.from_bytes(anchor, "big"))
+                out.extend((ah, *c) for c in _covered(group, length))
 
         for r, at, text, shared in merged(runs):
             if text[:8] != anchor:
