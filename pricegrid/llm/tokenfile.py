@@ -30,8 +30,8 @@ END_ID = 0
 SHARD_TOKENS = 6_000_000  # a shard is closed at the first document that passes it
 CACHE = 1_000_000  # distinct pieces a Python worker remembers
 
-_GROUP = 8_000_000  # characters encoded together
-_JOINED = 300  # pieces encoded in one string
+_GROUP = 20_000_000  # characters encoded together
+_JOINED = 200  # pieces encoded in one string
 _BLANKS = ("  ", " \t", " \n", " \x0b", " \x0c", " \r")
 _WIDE_BLANK = re.compile(" [\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 

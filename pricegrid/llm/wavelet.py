@@ -29,13 +29,14 @@ class WaveletMatrix:
         zeros, planes, ranks = [], [], []
         ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
         for bit in range(width - 1, -1, -1):
-            one = (ids >> ids.dtype.type(bit)) & ids.dtype.type(1) == 1
+            one = (ids & ids.dtype.type(1 << bit)).astype(bool)
             plane = np.packbits(one)
             planes.append(plane)
             ranks.append(cls._directory(plane))
             ones = ids[one]
             zeros.append(len(ids) - len(ones))
-            ids = np.concatenate([ids[~one], ones])
+            if bit:
+                ids = np.concatenate([ids[np.logical_not(one, out=one)], ones])
         return cls(len(ids), zeros, planes, ranks)
 
     @staticmethod
@@ -108,7 +109,7 @@ class WaveletMatrix:
         for plane in range(self.width - 1, -1, -1):
             one = np.unpackbits(self.planes[plane], count=self.n).view(bool)
             out = np.empty_like(ids)
-            out[~one] = ids[: self.zeros[plane]]
             out[one] = ids[self.zeros[plane] :] | ids.dtype.type(1 << (self.width - 1 - plane))
+            out[np.logical_not(one)] = ids[: self.zeros[plane]]
             ids = out
         return ids
