@@ -191,7 +191,7 @@ def test_group_join_keeps_every_row(spark, bound):
 
 
 def test_hot_groups_spread_and_cold_ones_join(spark, monkeypatch):
-    monkeypatch.setattr("pricegrid.operators.joins.HOT_GROUPS", 1)
+    monkeypatch.setattr("pricegrid.operators.joins.SPREAD", 4)
     rows = spark.createDataFrame([("hot", i) for i in range(50)] + [("a", 1), ("b", 2), (None, 3)], "k string, i int")
     groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("m"))
     got = {(r.k, r.m) for r in attach_groups(rows, groups, ["k"], 4, "n", 0).collect()}
