@@ -15,8 +15,8 @@ from ..sources.landed import (
     bronze_records,
     infer_record_schema,
     page_rows,
-    parsed_pages,
     rejected_pages,
+    settled_pages,
     with_metadata,
 )
 from ..sources.manifest import manifest_objects
@@ -111,7 +111,7 @@ _STATUS = (
     _FACTS + " SELECT run_id, catmat, page, records, declared_pages FROM facts",
 )
 def landed_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_facts(parsed_pages(landed_pages(spark, sf_dir)))
+    return page_facts(settled_pages(landed_pages(spark, sf_dir)))
 
 
 @query(
@@ -129,7 +129,7 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _STATUS + " SELECT run_id, catmat, page, records, declared_pages, status FROM status",
 )
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_status(page_facts(parsed_pages(landed_pages(spark, sf_dir))), PAGE_SIZE)
+    return page_status(page_facts(settled_pages(landed_pages(spark, sf_dir))), PAGE_SIZE)
 
 
 @query(
@@ -141,7 +141,7 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     coalesce(bool_or(ends AND status = 'accepted'), false) AS complete FROM status GROUP BY ALL""",
 )
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequence_results(page_facts(parsed_pages(landed_pages(spark, sf_dir))), PAGE_SIZE)
+    return sequence_results(page_facts(settled_pages(landed_pages(spark, sf_dir))), PAGE_SIZE)
 
 
 @query(

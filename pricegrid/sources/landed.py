@@ -8,6 +8,7 @@ are a written table that all readers share.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -26,7 +27,8 @@ PAGE_SCHEMA = T.StructType(
     ]
 )
 
-# Objects inside objects are searched this deep; deeper pages are rejected.
+# Objects inside objects are searched this deep by one expression; deeper pages are
+# walked level by level.
 ENVELOPE_DEPTH = 3
 # Stands for the records of a page that is too deep; records are never null.
 _TOO_DEEP = "null"
@@ -107,8 +109,9 @@ def total_pages(body: Column) -> Column:
 
 
 def parsed_pages(pages: DataFrame, depth: int = ENVELOPE_DEPTH) -> DataFrame:
-    """Pages with ``records``, ``declared_pages`` and a ``reject_reason``; only
-    rejected pages keep their ``body``."""
+    """The first pass: pages with ``records``, ``declared_pages`` and a
+    ``reject_reason``, TOO_DEEP where ``settled_pages`` has to go on; only pages with
+    a reason keep their ``body``."""
     parsed = pages.withColumn("__body", F.try_parse_json("body"))
     body = F.col("__body")
     searched = parsed.withColumns({"__found": page_records(body, depth), "declared_pages": total_pages(body)})
@@ -123,20 +126,63 @@ def parsed_pages(pages: DataFrame, depth: int = ENVELOPE_DEPTH) -> DataFrame:
     return stage(marked.withColumn("body", kept).drop("__body", "__found"), "pages")
 
 
+def _walked(deep: DataFrame) -> DataFrame:
+    """``__row`` and ``records`` of pages, one level of objects per written pass.
+
+    A list under a record key decides for its object, so later keys are not walked. The
+    first records in the order of keys are the page's; empty ones give way to others.
+    """
+    level = stage(
+        deep.select("__row", F.expr("array() :: array<int>").alias("__path"), F.parse_json("body").alias("__value")),
+        "page-level",
+    )
+    found = []
+    while not level.isEmpty():
+        fields = _as_object(F.col("__value"))
+        nested = lambda v: _as_list(v).isNotNull() | _as_object(v).isNotNull()
+        plain = (F.size(fields) > 0) & ~F.exists(F.map_values(fields), nested)
+        own = level.where(plain).select("__row", "__path", F.array("__value").alias("records"))
+        values = _record_values(fields)
+        lists_at = F.array_position(F.transform(values, lambda v: _as_list(v).isNotNull()), True)  # from 1; 0 for none
+        upto = F.when(lists_at > 0, F.slice(values, 1, lists_at.cast("int"))).otherwise(values)
+        tried = level.select("__row", "__path", F.posexplode(upto).alias("__at", "__value"))
+        path = F.concat("__path", F.array("__at")).alias("__path")
+        lists = tried.select("__row", path, _objects_of(F.col("__value")).alias("records")).where(F.size("records") > 0)
+        found.append(stage(own.unionByName(lists), "page-records"))
+        level = stage(
+            tried.where(_as_object(F.col("__value")).isNotNull()).select("__row", path, "__value"), "page-level"
+        )
+    return reduce(DataFrame.unionByName, found).groupBy("__row").agg(F.min_by("records", "__path").alias("records"))
+
+
+def settled_pages(pages: DataFrame) -> DataFrame:
+    """``parsed_pages`` with the records of pages of any depth."""
+    first = parsed_pages(pages)
+    too_deep = F.coalesce(F.col("reject_reason") == "TOO_DEEP", F.lit(False))
+    if first.where(too_deep).isEmpty():
+        return first
+    deep = stage(first.where(too_deep).drop("records").withColumn("__row", F.monotonically_increasing_id()), "deep-pages")
+    none = F.array().cast(_LIST)
+    settled = deep.join(_walked(deep), "__row", "left").withColumns(
+        {"records": F.coalesce("records", none), "body": F.lit(None).cast("string"), "reject_reason": F.lit(None).cast("string")}
+    )
+    return first.where(~too_deep).unionByName(stage(settled.select(*first.columns), "pages"))
+
+
 def _parsed(pages: DataFrame) -> DataFrame:
-    return pages if "reject_reason" in pages.columns else parsed_pages(pages)
+    return pages if "reject_reason" in pages.columns else settled_pages(pages)
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
     """Pages that could not be read, with the reason; the others go on. Takes
-    landed pages, or those of ``parsed_pages``."""
+    landed pages, or those of ``settled_pages``."""
     return _parsed(pages).filter("reject_reason IS NOT NULL").drop("records", "declared_pages")
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
     """One row per record: the page's columns, ``position`` and ``record``.
 
-    Takes landed pages, or those of ``parsed_pages``. Rejected pages have no records.
+    Takes landed pages, or those of ``settled_pages``. Rejected pages have no records.
     """
     keys = [c for c in pages.columns if c not in ("body", "records", "declared_pages", "reject_reason")]
     return _parsed(pages).select(*keys, F.posexplode("records").alias("position", "record"))

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pricegrid.sources.landed import (
     page_rows,
     parsed_pages,
     rejected_pages,
+    settled_pages,
     with_metadata,
 )
 from pricegrid.sources.manifest import manifest_objects, require_objects
@@ -49,6 +51,42 @@ def test_envelopes(spark):
     assert [(len(r.records), r.declared_pages, r.reject_reason) for r in got] == [b[1:] for b in BODIES]
 
 
+def extracted(value):
+    """The rule for records, by recursion."""
+    if isinstance(value, list):
+        return [x for x in value if isinstance(x, dict)]
+    if not isinstance(value, dict):
+        return []
+    for key in ("resultado", "resultados", "data", "dados", "items", "content", "registros"):
+        inner = value.get(key)
+        if isinstance(inner, list):
+            return extracted(inner)
+        if isinstance(inner, dict) and (found := extracted(inner)):
+            return found
+    return [value] if value and not any(isinstance(v, (list, dict)) for v in value.values()) else []
+
+
+def test_envelopes_of_any_depth(spark):
+    r = random.Random(5)
+
+    def made(depth):
+        if not depth:
+            return r.choice([[{"a": r.randrange(9)}, 3], [], {"a": 1}, {}, {"x": [1]}, None, [{"b": 2}]])
+        keys = r.sample(["resultado", "data", "items", "registros", "other"], r.choice([1, 2, 2]))
+        return {k: made(depth - 1 if i == 0 else r.randrange(depth)) for i, k in enumerate(keys)}
+
+    bodies = [made(r.randrange(4, 10)) for _ in range(60)]
+    bodies += [json.loads('{"data":' * d + '[{"a":1}]' + "}" * d) for d in (5, 8, 12)]
+    landed = pages(spark, [*map(json.dumps, bodies), "oops"])
+    assert parsed_pages(landed).where("reject_reason = 'TOO_DEEP'").count() > 20
+    assert [x.page for x in rejected_pages(landed).collect()] == [64]
+    got = settled_pages(landed)
+    rows = page_rows(got).select("page", "position", F.to_json("record").alias("record")).orderBy("page", "position")
+    found = [(x.page, x.position, json.loads(x.record)) for x in rows.collect()]
+    assert found == [(i + 1, k, x) for i, b in enumerate(bodies) for k, x in enumerate(extracted(b))]
+    assert got.count() == 64 and page_rows(landed).count() == len(found) > 30
+
+
 def test_rejects_do_not_stop_the_others(spark):
     landed = pages(spark, ["oops", '[{"a":1}]'])
     assert [r.page for r in rejected_pages(landed).collect()] == [1]
