@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     bpe,
     decontaminate,
+    infill,
     lm,
     near_dups,
     packing,
@@ -124,3 +125,13 @@ def op6_merged_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_log_bilinear_scores")
 def op8_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(read(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_in_middle", twins.infill_twin())
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.infilled(read(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )

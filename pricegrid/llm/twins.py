@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import infill
 from .near_dups import PERCENT, SHINGLE
 from .quality import BLANKS, ERROR, FACTOR, MAX_REPEAT_PERCENT, METRICS, MIN_GROUP, MIN_WORDS, SYMBOLS, WINDOW
 from .secrets import BASE, RULES
@@ -106,3 +107,22 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reac
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
 FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+
+def infill_twin() -> str:
+    part = "substring(t, CAST({} AS BIGINT), CAST({} AS BIGINT))"
+    prefix, middle, suffix = part.format("1", "a"), part.format("a + 1", "b - a"), part.format("b + 1", "n - b")
+    marked = " OR ".join(f"contains(t, '{m}')" for m in (infill.PREFIX, infill.SUFFIX, infill.MIDDLE))
+    draws = ", ".join(f"CAST('0x' || substring(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{infill.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT doc_id, t, length(t) AS n, {draws} FROM d),
+c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+ CASE WHEN n = 0 OR {marked} OR h3 % 100 >= {infill.KEEP_PERCENT} THEN 'plain'
+  WHEN h4 % 100 < {infill.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, {prefix} AS pre, {middle} AS mid, {suffix} AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+ CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{infill.PREFIX}' || pre || '{infill.SUFFIX}' || suf || '{infill.MIDDLE}' || mid
+  ELSE '{infill.SUFFIX}' || suf || '{infill.PREFIX}' || pre || '{infill.MIDDLE}' || mid END) AS output_sha256,
+ sha256(t) AS restored_sha256 FROM p"""
