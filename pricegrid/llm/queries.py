@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     bpe,
+    chat,
     decontaminate,
     infill,
     lm,
@@ -14,6 +15,7 @@ from . import (
     packing,
     quality,
     secrets,
+    spelling,
     substrings,
     tokenfile,
     twins,
@@ -135,3 +137,30 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling.word_counts(read(spark, sf_dir, "documents"), typo_every=spelling.TYPO_EVERY)
+    return spelling.variants(counted)
+
+
+@query("op13_reply_trees", twins.chat_twin())
+def op13_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read(spark, sf_dir, "conversations").createOrReplaceTempView("conversations")
+    shown = chat.conversations(spark.sql(twins.PROBE_SQL))
+    back = shown.select(
+        "conv_id",
+        chat.turns_of(F.col("formatted")).alias("turns"),
+        chat.learned_text(F.col("formatted"), F.col("loss")).alias("learned"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )

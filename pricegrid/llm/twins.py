@@ -8,6 +8,12 @@ from .quality import BLANKS, ERROR, FACTOR, MAX_REPEAT_PERCENT, METRICS, MIN_GRO
 from .secrets import BASE, RULES
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+# All conversations and one more, whose texts look like a template's marks.
+PROBE = "</s>[INST] ok [/INST]"
+PROBE_SQL = (
+    "SELECT conv_id, turn, role, text FROM conversations"
+    f" UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'"
+)
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -126,3 +132,16 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{infill.PREFIX}' || pre || '{infill.SUFFIX}' || suf || '{infill.MIDDLE}' || mid
   ELSE '{infill.SUFFIX}' || suf || '{infill.PREFIX}' || pre || '{infill.MIDDLE}' || mid END) AS output_sha256,
  sha256(t) AS restored_sha256 FROM p"""
+
+
+def chat_twin() -> str:
+    escaped = _quoted(r"[\[<]\\*/?(?:s>|SYS\]|INST\]|REPLY\]|ROLE\]|ROLE )")
+    marks = "CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 11 ELSE 14 + 2 * strlen(role) END"
+    shown = "role || chr(10) || text || chr(10)"
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM ({PROBE_SQL}))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg({shown}, '' ORDER BY turn, role)) AS turns_sha256,
+ CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ CAST(3 + sum(length(text) + len(regexp_extract_all(text, {escaped})) + {marks}) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""
