@@ -169,26 +169,28 @@ def sharded(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: in
     """Per document ``size`` (UTF-8 bytes plus 16), ``text_crc32``, ``law``
     ('bytes'), ``shard``, ``slot`` and ``grown_shard`` (null under this law).
 
-    A null text has no bytes and its own group by id; empty texts are equal texts. A
+    A null text has no bytes and groups with null texts of its id only; empty texts are
+    equal texts. A
     group of at least an even share fills a shard alone. With fewer groups than shards
     some shards are empty. Repeated rows each get a slot; other columns are ignored.
     """
     text_col = F.col(f"`{text}`").cast("string")
     key_col = F.col(f"`{key}`")
-    lone = F.concat(F.lit("no text "), F.coalesce(key_col.cast("string"), F.lit("")))
+    # The first byte tells ids from texts, whatever a text says.
+    digest = lambda kind, value: F.concat(F.lit(kind), F.unhex(F.sha2(value, 256)))
+    alone = digest(b"\x00", F.coalesce(key_col.cast("string"), F.lit("")))
     sized = written(
         docs.select(
             key_col.alias("doc_id"),
             (F.coalesce(F.octet_length(text_col), F.lit(0)) + EXTRA_BYTES).cast("bigint").alias("size"),
             F.crc32(F.coalesce(text_col, F.lit("")).cast("binary")).alias("text_crc32"),
-            F.unhex(F.sha2(F.coalesce(text_col, lone), 256)).alias("key"),
-            text_col.isNull().alias("no_text"),
+            F.when(text_col.isNull(), alone).otherwise(digest(b"\x01", text_col)).alias("key"),
         ),
         "sized",
     )
     total, rows = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     capacity = max(1, total // (shards * BUNDLES))
-    groups = sized.groupBy("key", "no_text").agg(F.sum("size").alias("bytes")).select("key", "bytes")
+    groups = sized.groupBy("key").agg(F.sum("size").alias("bytes"))
     bundled = written(
         groups.mapInPandas(_bundle_batches(capacity), "key binary, bytes bigint, task int, bundle int"), "bundles"
     )
