@@ -213,3 +213,26 @@ def test_shards(odd_docs):
         slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
         assert slots == list(range(len(slots)))
     assert sharded(odd_docs.limit(0)).count() == 0
+
+
+def test_null_texts_do_not_meet_texts_that_name_their_id(spark):
+    rows = [(5, None), (6, "no text 5"), (7, "x"), (5, None), (None, None), (8, ""), (9, "")]
+    rows += [(10, "5"), (11, "\x005")]
+    got = sharded(spark.createDataFrame(rows, "doc_id bigint, text string"), shards=3).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(k) for k, _ in rows)
+    shards = {}
+    for r in got:
+        shards.setdefault(r["doc_id"], set()).add(r["shard"])
+    assert len(shards[5]) == 1 and shards[8] == shards[9]
+
+
+def test_links_at_the_threshold_of_small_sets(spark):
+    """Pairs of exactly 0.75: 3 of 4, 6 of 8 and 9 of 12 shingles, none may be missed."""
+    r, rows = random.Random(12), []
+    for pair in range(1500):
+        for less, more in ((7, 8), (10, 12), (13, 16)):
+            words = [f"w{r.randrange(10**9)}" for _ in range(more)]
+            rows += [" ".join(words), " ".join(words[:less])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(4)
+    got = {x["doc_id"]: x["component_id"] for x in near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [i - i % 2 for i in range(len(rows))]
