@@ -161,39 +161,44 @@ def _turn_messages(rows: DataFrame, conversation: str, turn: str, role: str, tex
     )
 
 
-def _climbed(ids: DataFrame, deepest: int) -> list[DataFrame]:
-    """Written tables (key, id, up, n, total): in table k, ``up`` is the message 2^k
-    replies above, null if there is none; ``n`` messages and their scores lie between.
-    In the last one ``up`` is null but for messages that reply in a circle."""
+def _climbed(ids: DataFrame, deepest: int) -> tuple[list[DataFrame], DataFrame]:
+    """The ways up, table k with the message 2^k replies above (key, id, up), and all
+    messages that have a root with ``n`` messages and the scores up to it.
+
+    A round only joins the messages that are still on their way, so its rows become
+    fewer as shallow trees are done. Messages that reply in a circle never are.
+    """
     there = ids.select("key", F.col("id").alias("up")).withColumn("there", F.lit(True))
-    tables = [
-        written(
-            ids.join(there, ["key", "up"], "left").select(
-                "key", "id", F.when(F.col("there"), F.col("up")).alias("up"), F.lit(1).alias("n"), F.col("score").alias("total")
-            ),
-            "replies",
-        )
-    ]
-    while 2 ** (len(tables) - 1) <= deepest and not tables[-1].where("up IS NOT NULL").isEmpty():
-        now = tables[-1]
-        ahead = now.select(
+    now = written(
+        ids.join(there, ["key", "up"], "left").select(
+            "key", "id", F.when(F.col("there"), F.col("up")).alias("up"), F.lit(1).alias("n"), F.col("score").alias("total")
+        ),
+        "replies",
+    )
+    ways, settled = [], now.where("up IS NULL")
+    while True:
+        ways.append(now.where("up IS NOT NULL"))
+        if 2 ** (len(ways) - 1) > deepest or ways[-1].isEmpty():
+            return ways, settled
+        ahead = ways[-1].unionByName(settled).select(
             "key", F.col("id").alias("up"), F.col("up").alias("next"), F.col("n").alias("n2"), F.col("total").alias("total2")
         )
-        both = now.join(ahead, ["key", "up"], "left").select(
-            "key", "id", F.col("next").alias("up"),
-            (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
+        now = written(
+            ways[-1].join(ahead, ["key", "up"]).select(
+                "key", "id", F.col("next").alias("up"),
+                (F.col("n") + F.col("n2")).alias("n"), (F.col("total") + F.col("total2")).alias("total"),
+            ),
+            "replies",
         )
-        tables.append(written(both, "replies"))
-    return tables
+        settled = settled.unionByName(now.where("up IS NULL"))
 
 
 def _paths(ids: DataFrame, sizes: DataFrame, top: int | None) -> DataFrame:
     """Messages of the chosen paths: (key, leaf, rank, mean, pos, id), pos from 1."""
     deepest = sizes.agg(F.max("m")).first()[0] or 0
-    tables = _climbed(ids, deepest)
-    settled = tables[-1].where("up IS NULL")
-    answered = tables[0].where("up IS NOT NULL").select("key", F.col("up").alias("id"))
+    ways, settled = _climbed(ids, deepest)
+    settled = written(settled, "rooted")
+    answered = ways[0].select("key", F.col("up").alias("id"))
     ranked = Window.partitionBy("key").orderBy(F.desc("mean"), "id")
     leaves = (
         settled.join(answered, ["key", "id"], "left_anti")
@@ -212,8 +217,8 @@ def _paths(ids: DataFrame, sizes: DataFrame, top: int | None) -> DataFrame:
     if forked.isEmpty():
         return found
     rows = written(chosen.join(forked, "key", "left_semi").withColumn("id", F.col("leaf")).select(*columns), "paths")
-    for k in reversed(range(len(tables) - 1)):  # all offsets, as sums of powers of two
-        above = tables[k].where("up IS NOT NULL").select("key", "id", "up")
+    for k in reversed(range(len(ways))):  # all offsets, as sums of powers of two
+        above = ways[k].select("key", "id", "up")
         further = rows.join(above, ["key", "id"]).select(
             "key", "leaf", "rank", "mean", (F.col("pos") - 2**k).alias("pos"), F.col("up").alias("id")
         )
