@@ -9,9 +9,9 @@ hundred buckets for each metric, so its thresholds come from a small table that
 joined back.
 
 A threshold is an upper fence: third quartile plus FACTOR times the spread between
-the quartiles, the spread being at least a floor given for each metric. Groups with
-fewer than ``min_group`` documents take the fence of their language, and languages
-with fewer take that of all documents.
+the quartiles, the spread being at least a floor given for each metric. One rule holds
+for groups of any size: the fence of a language counts like PRIOR documents of each of
+its groups, and the fence of all documents like PRIOR documents of each language.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 ERROR = 0.01  # relative error of a sketched quantile
 FACTOR = 4.0
-MIN_GROUP = 100
+PRIOR = 100.0
 
 COUNTS = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Metric: its value from the counts, and the least spread of a fence.
@@ -167,32 +167,36 @@ def fences(sketched: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
-def thresholds(measured: DataFrame, lang: str, source: str, min_group: int = MIN_GROUP) -> DataFrame:
-    """Fences for each language and source, from merged sketches where a group is
-    small. Null languages and sources are groups of their own."""
+def _blended(own: Column, size: Column, wider: Column, prior: float) -> Column:
+    """A group's fence and a wider one, weighted by the group's size and the prior."""
+    return (size * own + F.lit(prior) * wider) / (size + F.lit(prior))
+
+
+def thresholds(measured: DataFrame, lang: str, source: str, prior: float = PRIOR) -> DataFrame:
+    """Fences for each language and source, drawn towards those of the language and of
+    all documents, the more so the smaller a group is. Null languages and sources are
+    groups of their own."""
     fine = sketch(measured, [lang, source])
     by_source, by_lang, by_all = fences(fine, [lang, source]), fences(fine, [lang]), fences(fine, [])
     wide = by_lang.crossJoin(F.broadcast(by_all.select(*[F.col(m).alias(f"all_{m}") for m in METRICS])))  # one row
+    size = F.col("size").cast("double")
     wide = wide.select(
         F.col(lang).alias("_lang"),
-        *[F.when(F.col("size") >= min_group, F.col(m)).otherwise(F.col(f"all_{m}")).alias(f"wide_{m}") for m in METRICS],
+        *[_blended(F.col(m), size, F.col(f"all_{m}"), prior).alias(f"wide_{m}") for m in METRICS],
     )
     return by_source.join(wide, by_source[lang].eqNullSafe(wide["_lang"]), "left").select(
         lang,
         source,
-        *[
-            F.when(F.col("size") >= min_group, F.col(m)).otherwise(F.col(f"wide_{m}")).alias(f"max_{m}")
-            for m in METRICS
-        ],
+        *[_blended(F.col(m), size, F.col(f"wide_{m}"), prior).alias(f"max_{m}") for m in METRICS],
     )
 
 
-def _judged(chosen: DataFrame, min_group: int) -> DataFrame:
+def _judged(chosen: DataFrame, prior: float) -> DataFrame:
     """Rows (text, lang, source and anything else) without the text, with the counts,
     ``base_failed``, the metrics, their fences and ``kept``."""
     measured = written(text_counts(chosen).drop("text").withColumn("base_failed", base_failed()), "quality")
     # Written, so that Spark knows the table's size before it chooses the join.
-    limits = written(thresholds(measured.where(~F.col("base_failed")), "lang", "source", min_group), "fences")
+    limits = written(thresholds(measured.where(~F.col("base_failed")), "lang", "source", prior), "fences")
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = measured.join(
         limits, measured["lang"].eqNullSafe(limits["_lang"]) & measured["source"].eqNullSafe(limits["_source"]), "left"
@@ -209,7 +213,7 @@ def judged(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
-    min_group: int = MIN_GROUP,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """Per document its counts, ``base_failed`` and ``kept``.
 
@@ -219,7 +223,7 @@ def judged(
     """
     names = {key: "doc_id", text: "text", lang: "lang", source: "source"}
     chosen = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    return _judged(chosen, min_group).select(
+    return _judged(chosen, prior).select(
         "doc_id",
         "n_words",
         *COUNTS,
@@ -231,10 +235,11 @@ def judged(
 
 
 def kept_documents(
-    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP
+    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", prior: float = PRIOR
 ) -> DataFrame:
-    """The documents that ``judged`` keeps, with all their columns."""
+    """The documents that ``judged`` keeps, with all their columns: nulls, repeated rows
+    and empty tables as there."""
     names = {text: "text", lang: "lang", source: "source"}
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     chosen = docs.select(whole, *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    return _judged(chosen, min_group).where("kept").select("row.*")
+    return _judged(chosen, prior).where("kept").select("row.*")

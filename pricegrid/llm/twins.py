@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import infill
 from .near_dups import PERCENT, SHINGLE
-from .quality import BLANKS, ERROR, FACTOR, MAX_REPEAT_PERCENT, METRICS, MIN_GROUP, MIN_WORDS, SYMBOLS, WINDOW
+from .quality import BLANKS, ERROR, FACTOR, MAX_REPEAT_PERCENT, METRICS, MIN_WORDS, PRIOR, SYMBOLS, WINDOW
 from .secrets import BASE, RULES
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -74,7 +74,9 @@ def quality_twin() -> str:
         f"SELECT doc_id, lang, source, '{m}' AS metric, {floor} AS floor, CAST({value.replace(' / ', '::DOUBLE / ')} AS DOUBLE) AS value FROM good"
         for m, (value, floor) in METRICS.items()
     )
-    fence = "{0}.q3 + " + str(FACTOR) + " * greatest({0}.q3 - {0}.q1, {0}.floor)"
+    fence = "({0}.q3 + " + str(FACTOR) + " * greatest({0}.q3 - {0}.q1, {0}.floor))"
+    blend = "(CAST({0}.size AS DOUBLE) * {1} + " + f"{PRIOR}e0" + " * {2}) / (CAST({0}.size AS DOUBLE) + " + f"{PRIOR}e0)"
+    limit = blend.format("fine", fence.format("fine"), "(" + blend.format("wide", fence.format("wide"), fence.format("every")) + ")")
     return rf"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents), w AS (SELECT *, {_WORDS.format('text')} AS w FROM t),
 k AS (SELECT doc_id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS key
@@ -94,8 +96,7 @@ sketch AS (SELECT lang, source, metric, floor, CASE WHEN value > 0 THEN greatest
 bad AS (SELECT DISTINCT doc_id FROM v
  JOIN fine ON fine.metric = v.metric AND fine.lang IS NOT DISTINCT FROM v.lang AND fine.source IS NOT DISTINCT FROM v.source
  JOIN wide ON wide.metric = v.metric AND wide.lang IS NOT DISTINCT FROM v.lang JOIN every ON every.metric = v.metric
- WHERE value > CASE WHEN fine.size >= {MIN_GROUP} THEN {fence.format('fine')}
-  WHEN wide.size >= {MIN_GROUP} THEN {fence.format('wide')} ELSE {fence.format('every')} END)
+ WHERE value > {limit})
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND bad.doc_id IS NULL AS kept FROM f LEFT JOIN bad ON bad.doc_id = f.doc_id"""
 
