@@ -41,6 +41,15 @@ def local_number(col: Column, dtype: T.DataType) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def local_text(col: Column) -> Column:
+    """A number as text that ``local_number`` and ``catalogue_code`` read as the same
+    number: whole ones without a fraction, others with a decimal comma."""
+    number = col.cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
+    other = F.translate(number.cast("string"), ".", ",")
+    return F.when(whole, number.cast("bigint").cast("string")).when(~F.isnan(number), other)
+
+
 def plain_number(col: Column, dtype: T.DataType) -> Column:
     """Number from text with a decimal point; anything else becomes null."""
     if isinstance(dtype, T.NumericType):

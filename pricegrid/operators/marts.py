@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import MONTHLY_DIMENSIONS, STATE_DIMENSIONS
 from .derive import date_columns
-from .quantiles import GROUP_ROWS, counted_quantiles, split_by_size
+from .quantiles import GROUP_ROWS, counted_quantiles, group_sizes, split_by_size
 
 PROBS = (0.25, 0.5, 0.75)
 QUANTILE_COLUMNS = ("percentil_25", "preco_mediano", "percentil_75")
@@ -55,14 +55,17 @@ def _quantiles_as_columns(df: DataFrame) -> DataFrame:
 
 
 def aggregate_prices(
-    df: DataFrame, dimensions: Sequence[str], group_rows: int = GROUP_ROWS
+    df: DataFrame,
+    dimensions: Sequence[str],
+    group_rows: int = GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The twelve metrics per group; null dimensions form groups of their own."""
     dims = list(dimensions)
     counted = {"quantidade_fornecedores": "ni_fornecedor", "quantidade_orgaos": "codigo_orgao"}
     present = {name: c for name, c in counted.items() if c in df.columns}
     narrow = df.select(*dims, PRICE, QUANTITY, *present.values())
-    split = split_by_size(narrow, dims, group_rows)
+    split = split_by_size(narrow, dims, group_rows, sizes)
     parts = []
     if split.small is not None:
         parts.append(_small_groups(split.small, dims, present))
@@ -107,18 +110,30 @@ def with_variation(mart: DataFrame) -> DataFrame:
     )
 
 
-def _mart(df: DataFrame, dimensions: Sequence[str], group_rows: int) -> DataFrame:
-    dated = date_columns(df)
-    absent = {c: F.lit(None).cast("string") for c in dimensions if c not in dated.columns}
-    full = dated.withColumns(absent) if absent else dated
-    return with_variation(aggregate_prices(full, dimensions, group_rows))
+def _with_dimensions(df: DataFrame, dimensions: Sequence[str], dated: bool) -> DataFrame:
+    rows = df if dated else date_columns(df)
+    absent = {c: F.lit(None).cast("string") for c in dimensions if c not in rows.columns}
+    return rows.withColumns(absent) if absent else rows
 
 
-def monthly_mart(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """One row per material, unit and month."""
-    return _mart(df, MONTHLY_DIMENSIONS, group_rows)
+def mart_sizes(df: DataFrame) -> DataFrame:
+    """Rows per state and month. States refine the groups of the monthly mart, so one
+    count tells both marts which of their groups are large."""
+    return group_sizes(_with_dimensions(df, STATE_DIMENSIONS, False), STATE_DIMENSIONS)
 
 
-def state_mart(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """One row per material, unit, state and month."""
-    return _mart(df, STATE_DIMENSIONS, group_rows)
+def monthly_mart(
+    df: DataFrame, group_rows: int = GROUP_ROWS, sizes: DataFrame | None = None, dated: bool = False
+) -> DataFrame:
+    """One row per material, unit and month. ``dated`` says that the records' own year
+    and month columns hold; a table clustered by them is then not shuffled."""
+    full = _with_dimensions(df, MONTHLY_DIMENSIONS, dated)
+    return with_variation(aggregate_prices(full, MONTHLY_DIMENSIONS, group_rows, sizes))
+
+
+def state_mart(
+    df: DataFrame, group_rows: int = GROUP_ROWS, sizes: DataFrame | None = None, dated: bool = False
+) -> DataFrame:
+    """One row per material, unit, state and month; otherwise as ``monthly_mart``."""
+    full = _with_dimensions(df, STATE_DIMENSIONS, dated)
+    return with_variation(aggregate_prices(full, STATE_DIMENSIONS, group_rows, sizes))

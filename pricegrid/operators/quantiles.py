@@ -37,16 +37,27 @@ class GroupSplit:
     large_groups: int
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+
+
 def split_by_size(
-    df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    group_rows: int = GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> GroupSplit:
-    """Count the groups by one small job and tell large ones apart.
+    """Count the groups by one small job and tell large ones apart. ``sizes`` are
+    ``group_sizes`` by these or more keys that are known already.
 
     The keys of large groups are few, as each stands for many rows; they are
     broadcast after a check of their number. If they are too many, or all groups
     are large, every row counts as large.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    if sizes is None:
+        sizes = group_sizes(df, keys)
+    else:
+        sizes = sizes.groupBy(*keys).agg(F.sum("__rows").alias("__rows"))
     large = F.col("__rows") > group_rows
     seen = sizes.agg(F.count(F.lit(1)).alias("groups"), F.count_if(large).alias("large")).first()
     groups, many = seen["groups"], seen["large"]
@@ -66,25 +77,29 @@ def group_quantiles(
     value: str,
     probs: Sequence[float],
     group_rows: int = GROUP_ROWS,
+    frequency: str | None = None,
 ) -> tuple[DataFrame, int]:
     """``keys``, ``group_rows`` and ``quantiles`` (one per prob) of the non-null
-    values, and the number of groups."""
-    split = split_by_size(df.select(*keys, value), keys, group_rows)
+    values, and the number of groups. With ``frequency`` a row stands for as many."""
+    columns = [*keys, value] if frequency is None else [*keys, value, frequency]
+    split = split_by_size(df.select(*columns), keys, group_rows)
     parts = []
     if split.small is not None:
-        parts.append(held_quantiles(split.small, keys, value, probs))
+        parts.append(held_quantiles(split.small, keys, value, probs, frequency))
     if split.large is not None:
-        parts.append(counted_quantiles(split.large, keys, value, probs, split.large_groups))
+        parts.append(counted_quantiles(split.large, keys, value, probs, split.large_groups, frequency))
     return reduce(DataFrame.unionByName, parts), split.groups
 
 
 def held_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], frequency: str | None = None
 ) -> DataFrame:
     wanted = F.array(*[F.lit(float(p)) for p in probs])
+    many = F.lit(1) if frequency is None else F.col(frequency)
+    rows = F.count(value) if frequency is None else F.coalesce(F.sum(F.when(F.col(value).isNotNull(), many)), F.lit(0))
     return df.groupBy(*keys).agg(
-        F.count(value).alias("group_rows"),
-        F.percentile(value, wanted).alias("quantiles"),
+        rows.alias("group_rows"),
+        F.percentile(value, wanted, many).alias("quantiles"),
     )
 
 
@@ -95,17 +110,23 @@ def value_band(value: Column) -> Column:
 
 
 def counted_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], group_count: int
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    group_count: int,
+    frequency: str | None = None,
 ) -> DataFrame:
     keys = list(keys)
-    named = df.select(*keys, F.col(value).cast("double").alias("__v"))
+    many = F.lit(1).cast("long") if frequency is None else F.col(frequency).cast("long")
+    named = df.select(*keys, F.col(value).cast("double").alias("__v"), many.alias("__many"))
     known = named.filter(F.col("__v").isNotNull())
     spans = group_count * 2 * len(probs)
     # Equal values fold before they are shuffled; the hash covers the value.
     counted = (
         known.withColumn("__band", value_band(F.col("__v")))
         .groupBy(*keys, "__band", "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.sum("__many").alias("__n"))
     )
 
     bands = counted.groupBy(*keys, "__band").agg(*_range_stats())

@@ -3,18 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from ..fixed_values import TECHNICAL_KEY
-from ..operators.dedup import RECENCY, keep_last
+from ..operators.dedup import RECENCY, keep_last, recency_order
 from ..operators.joins import BROADCAST_ROWS, attach_dimension, bounded_size, comparable_columns
 from ..operators.outliers import iqr_outliers
 from ..settings import Settings, require_utc
-from ..sources.tables import SILVER_PARTITIONS, read_silver, silver_layout, write_silver
-from ..staging import delete_path, path_exists, settled, stage, stage_scope
+from ..sources.evolving import in_common_types
+from ..sources.tables import (
+    SILVER_PARTITIONS,
+    drop_emptied,
+    in_partitions,
+    partition_columns,
+    read_silver,
+    write_silver,
+)
+from ..staging import path_exists, settled, stage, stage_scope
+from .price_counts import PriceCounts, changed
 
+_OF_BATCH = "__of_batch"
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("material_id", T.StringType()),
@@ -73,20 +84,20 @@ def _line() -> Column:
     return F.when(_keyed(), F.struct(*[F.col(k) for k in TECHNICAL_KEY]))
 
 
-def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Add ``change``: ``same`` record, ``updated`` purchase line, or ``new``.
+def _with_matches(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Add ``__same``, whether ``others`` have the record, and ``__known``, whether they
+    have its purchase line; null if not.
 
-    A record is the same by its hash; one without hash and full key by its content.
     The right sides are made unique, and a row that cannot match carries a number of
     its own, so nulls do not gather in one task.
     """
-    shared = _content([c for c in incoming.columns if c in existing.columns])
-    own = F.xxhash64(*[F.col(c) for c in comparable_columns(incoming)]).cast("string")
+    shared = _content([c for c in rows.columns if c in others.columns])
+    own = F.xxhash64(*[F.col(c) for c in comparable_columns(rows)]).cast("string")
     no_line = F.struct(F.concat(F.lit("?"), own).alias(TECHNICAL_KEY[0]), *[F.lit("").alias(k) for k in TECHNICAL_KEY[1:]])
-    records = existing.select(_identity(shared).alias("__id")).dropna().distinct()
-    lines = existing.select(_line().alias("__line")).dropna().distinct()
-    marked = (
-        incoming.withColumns(
+    records = others.select(_identity(shared).alias("__id")).dropna().distinct()
+    lines = others.select(_line().alias("__line")).dropna().distinct()
+    return (
+        rows.withColumns(
             {
                 "__id": F.coalesce(_identity(shared), F.concat(F.lit("?"), own)),
                 "__line": F.coalesce(_line(), no_line),
@@ -95,30 +106,62 @@ def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
         .join(records.withColumn("__same", F.lit(True)), "__id", "left")
         .join(lines.withColumn("__known", F.lit(True)), "__line", "left")
     )
+
+
+def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """Add ``change``: ``same`` record, ``updated`` purchase line, or ``new``.
+
+    A record is the same by its hash; one without hash and full key by its content.
+    """
     change = F.when(F.col("__same"), "same").when(F.col("__known"), "updated").otherwise("new")
-    return marked.select(*incoming.columns, change.alias("change"))
+    return _with_matches(incoming, existing).select(*incoming.columns, change.alias("change"))
+
+
+def _own(columns: Sequence[str]) -> Column:
+    """A digest of the whole row, for rows that nothing else identifies."""
+    return F.concat(F.lit("?"), F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
 
 
 def latest_lines(df: DataFrame, order: Sequence[Column | str] | None = None) -> DataFrame:
     """One version per record, then the latest per purchase line.
 
-    Records without a hash and without a full key are told apart by their content.
+    Records without a hash and without a full key are told apart by their content. The
+    result does not depend on how rows were dealt into loads: the latest lines of two
+    batches' latest lines are those of both batches.
     """
-    known = df.withColumn("__id", _identity(_content(df.columns)))
-    once = keep_last(known.filter("__id IS NOT NULL"), ["__id"], order)
-    once = once.unionByName(known.filter("__id IS NULL")).drop("__id")
-    latest = keep_last(once.filter(_keyed()), TECHNICAL_KEY, order)
-    return latest.unionByName(once.filter(~_keyed()))
+    compared = comparable_columns(df)
+    known = df.withColumn("__id", F.coalesce(_identity(_content(df.columns)), _own(compared)))
+    once = keep_last(known, ["__id"], order)
+    loose = F.struct(F.col("__id").alias(TECHNICAL_KEY[0]), *[F.lit("").alias(k) for k in TECHNICAL_KEY[1:]])
+    lined = once.withColumn("__line", F.coalesce(_line(), loose)).drop("__id")
+    return keep_last(lined, ["__line"], order).drop("__line")
+
 
+def batch_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """``catmat`` and ``change`` of each record of a batch; further copies of a record
+    within the batch are the ``same``."""
+    known = F.coalesce(_identity(_content(incoming.columns)), _own(comparable_columns(incoming)))
+    copy = F.row_number().over(Window.partitionBy("__record").orderBy(F.lit(1)))
+    counted = classify_changes(incoming.withColumn("__record", known), existing).withColumn("__copy", copy)
+    change = F.when(F.col("__copy") > 1, "same").otherwise(F.col("change"))
+    return counted.select(F.col("codigo_item_catalogo").alias("catmat"), change.alias("change"))
 
-def _in_partitions(df: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows in the touched partitions; broadcast lets Spark prune files."""
-    few = bounded_size(touched) <= BROADCAST_ROWS
-    return df.join(F.broadcast(touched) if few else touched, list(SILVER_PARTITIONS), "left_semi")
+
+@dataclass(frozen=True)
+class Merged:
+    """One-row frames: how records changed, and how many of the batch are outliers."""
+
+    changes: DataFrame
+    outliers: DataFrame
 
 
 def merge_silver(
-    spark: SparkSession, silver_path: str, incoming: DataFrame, settings: Settings = Settings()
+    spark: SparkSession,
+    silver_path: str,
+    incoming: DataFrame,
+    settings: Settings = Settings(),
+    counts_path: str | None = None,
+    touched_path: str | None = None,
 ) -> DataFrame:
     """Merge cleaned records into Silver, latest version wins.
 
@@ -127,30 +170,74 @@ def merge_silver(
     from whole groups. Running the same batch again changes nothing. Returns one
     row: how many records were new, updated and the same.
     """
+    return merge_batch(spark, silver_path, incoming, settings, counts_path, touched_path).changes
+
+
+def merge_batch(
+    spark: SparkSession,
+    silver_path: str,
+    incoming: DataFrame,
+    settings: Settings = Settings(),
+    counts_path: str | None = None,
+    touched_path: str | None = None,
+) -> Merged:
+    """As ``merge_silver``, with the batch's outliers, seen while the result is written.
+    Records without a code or date are in no partition and in no count of outliers.
+
+    Records of the touched partitions that the batch has no version of are carried over
+    as they are: only versions of the batch's records are compared. With ``counts_path``
+    limits come from price counts that are kept there (``plans.price_counts``), else
+    from the touched partitions. ``touched_path`` is a table to which the touched
+    partitions are added before Silver changes (for ``plans.gold.refresh_gold``).
+    """
     require_utc(spark)
+    counts = None if counts_path is None else PriceCounts(spark, counts_path, silver_path)
+    if counts is not None:
+        counts.settle()
     with stage_scope(spark):
         batch = stage(incoming.drop("is_outlier", "outlier_reason"), "merge-batch")
-        old = touched = None
         if batch.isEmpty():
-            return settled(_change_counts(classify_changes(batch, batch)))
+            changes = settled(_change_counts(classify_changes(batch, batch)))
+            return Merged(changes, spark.createDataFrame([(0,)], "outliers bigint"))
         if path_exists(spark, silver_path):
             old = read_silver(spark, silver_path).drop("is_outlier", "outlier_reason")
             touched = stage(touched_partitions(batch, old), "merge-partitions").filter("catmat > ''")
-            before = _in_partitions(old, touched).drop("catmat")
-            merged = latest_lines(before.unionByName(batch, allowMissingColumns=True))
+            held, batch = in_common_types(in_partitions(old, touched).drop("catmat"), batch)
+            hit = F.coalesce("__same", "__known", F.lit(False))
+            matched = _with_matches(held, batch).select(*held.columns, hit.alias("__hit"))
+            versions = stage(matched.filter("__hit").drop("__hit"), "merge-versions")
+            others = matched.filter("NOT __hit").drop("__hit")
         else:
-            merged = latest_lines(batch)
-        # Records and lines of the batch are only found in the touched partitions.
-        changes = classify_changes(batch, batch.limit(0) if old is None else before)
-        counts = settled(_change_counts(changes))
-        flagged = iqr_outliers(
-            stage(merged, "merge-rows"), settings.iqr_multiplier, settings.min_outlier_group
+            touched = stage(partition_columns(batch).distinct(), "merge-partitions")
+            versions, others = batch.limit(0), None
+        both = versions.withColumn(_OF_BATCH, F.lit(False)).unionByName(
+            batch.withColumn(_OF_BATCH, F.lit(True)), allowMissingColumns=True
         )
-        final = stage(flagged, "merge-final")
+        latest = latest_lines(both, [*recency_order(both.drop(_OF_BATCH)), F.col(_OF_BATCH).desc()])
+        latest = stage(latest, "merge-lines")
+        change_counts = settled(_change_counts(classify_changes(batch, versions)))
+        merged = latest
+        if others is not None:
+            merged = latest.unionByName(others.withColumn(_OF_BATCH, F.lit(False)), allowMissingColumns=True)
+        if counts is None:
+            flagged = iqr_outliers(stage(merged, "merge-rows"), settings.iqr_multiplier, settings.min_outlier_group)
+        else:
+            priced = stage(changed(counts.read(touched), versions, latest), "merge-prices")
+            flagged = iqr_outliers(merged, settings.iqr_multiplier, settings.min_outlier_group, counts=priced)
+        seen = Observation("merged")
+        in_partition = F.col("codigo_item_catalogo").isNotNull() & F.col("ano_mes").isNotNull()
+        outliers = F.count_if(F.col(_OF_BATCH) & F.col("is_outlier") & in_partition).alias("outliers")
+        final = stage(flagged.observe(seen, outliers).drop(_OF_BATCH), "merge-final")
+        if touched_path is not None:
+            touched.write.mode("append").parquet(touched_path)
+        if counts is not None:
+            counts.begin(touched)
         write_silver(final, silver_path)
-        if touched is not None:
-            _drop_emptied(spark, silver_path, touched, final)
-        return counts
+        drop_emptied(spark, silver_path, touched, partition_columns(final))
+        if counts is not None:
+            counts.replace(touched, priced)
+            counts.finish()
+        return Merged(change_counts, spark.createDataFrame([(seen.get["outliers"],)], "outliers bigint"))
 
 
 def _change_counts(changes: DataFrame) -> DataFrame:
@@ -159,12 +246,6 @@ def _change_counts(changes: DataFrame) -> DataFrame:
     )
 
 
-def _partition_columns(df: DataFrame) -> DataFrame:
-    return silver_layout(df).select(
-        "catmat", *[F.col(c).cast("int").alias(c) for c in SILVER_PARTITIONS[1:]]
-    )
-
-
 def _of_codes(old: DataFrame, batch: DataFrame) -> DataFrame:
     """Only partitions of the batch's codes; a broadcast lets Spark prune files.
 
@@ -180,17 +261,7 @@ def touched_partitions(batch: DataFrame, old: DataFrame) -> DataFrame:
     lines = batch.select(*TECHNICAL_KEY).dropna().distinct()
     held = _of_codes(old, batch).join(lines, list(TECHNICAL_KEY), "left_semi")
     held = held.select(*SILVER_PARTITIONS)
-    return held.unionByName(_partition_columns(batch)).distinct()
-
-
-def _drop_emptied(spark: SparkSession, path: str, touched: DataFrame, final: DataFrame) -> None:
-    """Delete touched partitions that no record is left in."""
-    kept = _partition_columns(final).distinct()
-    emptied = touched.join(kept, list(SILVER_PARTITIONS), "left_anti")
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in emptied.toLocalIterator():
-        folder = f"catmat={escape(row['catmat'])}/ano={row['ano']:04d}/mes={row['mes']:02d}"
-        delete_path(spark, f"{path}/{folder}")
+    return held.unionByName(partition_columns(batch)).distinct()
 
 
 def advance_watermarks(

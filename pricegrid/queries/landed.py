@@ -20,7 +20,7 @@ from ..sources.landed import (
     with_metadata,
 )
 from ..sources.manifest import manifest_objects
-from ..sources.page_order import page_facts, page_status, sequence_results
+from ..sources.page_order import page_facts, page_gaps, page_status, sequence_results, stopped_pages
 from .registry import query
 from .source import table
 
@@ -144,6 +144,31 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_results(page_facts(settled_pages(landed_pages(spark, sf_dir))), PAGE_SIZE)
 
 
+@query(
+    "page_gaps",
+    _FACTS
+    + """, l AS (SELECT run_id, catmat, page, lag(page, 1, 0) OVER (PARTITION BY run_id, catmat ORDER BY page) AS before FROM facts)
+    SELECT run_id, catmat, CAST(before + 1 AS BIGINT) AS page, CAST(page - 1 AS BIGINT) AS last_page FROM l WHERE page > before + 1""",
+)
+def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_gaps(page_facts(settled_pages(landed_pages(spark, sf_dir))))
+
+
+@query(
+    "stopped_records",
+    _FACTS
+    + """, s AS (SELECT run_id, catmat, min(page) FILTER (coalesce(page >= declared_pages, false)
+      OR (declared_pages IS NULL AND records < 2)) AS stop FROM facts GROUP BY ALL)
+    SELECT event_id, run_id AS _pipeline_run_id, catmat AS _catmat, page AS _page FROM e
+    JOIN s ON s.run_id = concat('run-', event_type) AND s.catmat = CAST(user_id AS VARCHAR)
+    WHERE NOT bad AND (stop IS NULL OR page <= stop)""",
+)
+def stopped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the pages up to the stop of their sequence."""
+    pages = stopped_pages(settled_pages(landed_pages(spark, sf_dir)), PAGE_SIZE)
+    return bronze_records(pages, RECORD).select("event_id", "_pipeline_run_id", "_catmat", "_page")
+
+
 @query(
     "bronze_records",
     f"""WITH e AS ({_EVENTS}) SELECT event_id, centavos,

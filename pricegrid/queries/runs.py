@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..fixed_values import MONTHLY_DIMENSIONS, MONTHLY_TABLE
+from ..fixed_values import MONTHLY_DIMENSIONS, MONTHLY_SERIES, MONTHLY_TABLE
 from ..operators.catalogue import catalogue_mapping, enrich
 from ..operators.derive import derived_columns
-from ..operators.quality import quality_flags
+from ..operators.marts import METRICS, monthly_mart
+from ..operators.outliers import GROUP, PRICE
+from ..operators.quality import eligible_records, quality_flags
+from ..operators.quantiles import group_quantiles
 from ..plans.bronze import run_bronze
-from ..plans.gold import run_gold
+from ..plans.gold import refresh_gold, run_gold
+from ..plans.incremental_load import Lake, incremental_load
 from ..plans.incremental import (
     WATERMARK_SCHEMA,
     advance_watermarks,
@@ -17,15 +23,28 @@ from ..plans.incremental import (
     merge_silver,
     since_watermark,
 )
-from ..plans.results import audit_rows
+from ..plans.price_counts import PriceCounts
+from ..plans.results import audit_rows, layer_results
 from ..plans.silver import run_silver
-from ..sources.tables import read_bronze, read_silver, write_bronze, write_silver
+from ..settings import SchemaError
+from ..sources.clustered import read_clustered, write_clustered
 from ..sources.landed import bronze_records
+from ..sources.tables import read_bronze, read_of_codes, read_of_runs, read_silver, write_bronze, write_silver
 from ..staging import new_path, stage
+from ..streaming.completeness import EVENTS, start_completeness_stream
 from ..streaming.pages import page_stream, start_silver_stream
-from .landed import RECORD, landed_pages
-from .marts import MONTHLY_PRICES_SQL, _series, _series_list
-from .records import SETTINGS, flagged_purchases, flagged_sql, iqr_outliers
+from .landed import _STATUS, PAGE_SIZE, RECORD, landed_pages
+from .marts import (
+    _ELIGIBLE,
+    MONTHLY_PRICES_SQL,
+    MONTHLY_SQL,
+    _mart_list,
+    _series,
+    _series_list,
+    indicators_sql,
+    mart_sql,
+)
+from .records import IQR_SQL, SETTINGS, flagged_purchases, flagged_sql, iqr_outliers
 from .registry import comparable, query
 from .source import START_DATE, entries, purchases, purchases_sql, table
 
@@ -175,33 +194,38 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("data_compra")
 
 
+_CHANGES_OF_CODES = _CHANGE_SQL.replace("p AS (SELECT", "pc AS (SELECT", 1).replace("FROM p WHERE", "FROM pc WHERE")
+
+
 @query(
     "audit_table",
-    f"""WITH {_ADVANCED_SQL}, {flagged_sql().replace('p AS', 'p0 AS', 1).replace('FROM p q', 'FROM p0 q')},
+    f"""WITH {_ADVANCED_SQL}, {flagged_sql().replace('p AS', 'p0 AS', 1).replace('FROM p q', 'FROM p0 q')}, {IQR_SQL},
+    {_CHANGES_OF_CODES},
     r AS (SELECT replace(p_brand, 'Brand#', '') AS catmat, count(*) AS pages,
       CAST(sum(p_size) AS BIGINT) AS records FROM part GROUP BY ALL),
     v1 AS (SELECT codigo_item_catalogo AS catmat, max(material_id) AS material_id,
-      count(*) FILTER (WHERE NOT is_valid_record) AS registros_invalidos FROM f GROUP BY ALL)
+      count(*) FILTER (WHERE NOT is_valid_record) AS registros_invalidos, count(*) FILTER (WHERE is_outlier) AS outliers
+      FROM o GROUP BY ALL),
+    k AS (SELECT codigo_item_catalogo AS catmat, count(*) FILTER (change = 'new') AS registros_novos,
+      count(*) FILTER (change = 'updated') AS registros_atualizados, count(*) FILTER (change = 'same') AS registros_duplicados
+      FROM c GROUP BY ALL)
     SELECT 'run-1' AS run_id, v1.material_id, r.catmat, TIMESTAMP '2002-02-01' AS inicio,
       TIMESTAMP '2002-02-01' AS fim, 0.0::DOUBLE AS duracao_segundos, pages AS paginas_consultadas,
-      records AS registros_recebidos, registros_invalidos, w.mark AS watermark_anterior,
-      a.watermark AS watermark_novo,
+      records AS registros_recebidos, registros_novos, registros_atualizados, registros_duplicados, registros_invalidos,
+      outliers, w.mark AS watermark_anterior, a.watermark AS watermark_novo,
       CASE WHEN r.catmat LIKE '%5' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
       CASE WHEN r.catmat LIKE '%5' THEN 'NOT_JSON' END AS erro
-    FROM r LEFT JOIN v1 ON r.catmat = v1.catmat LEFT JOIN w ON w.codigo = r.catmat
+    FROM r LEFT JOIN v1 ON r.catmat = v1.catmat LEFT JOIN k ON k.catmat = r.catmat LEFT JOIN w ON w.codigo = r.catmat
       LEFT JOIN a ON a.codigo_catmat = r.catmat""",
 )
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = flagged_purchases(spark, sf_dir).withColumn("is_outlier", F.lit(False))
+    silver = iqr_outliers(stage(flagged_purchases(spark, sf_dir), "purchases"))
     rows = _change_rows(spark, sf_dir)
     change = classify_changes(rows.filter(_NEW), rows.filter(_OLD)).withColumnRenamed(
         "codigo_item_catalogo", "catmat"
     )
-    table_rows = audit_rows(
-        run_results(spark, sf_dir), silver, change, watermarks(spark, sf_dir), advanced(spark, sf_dir)
-    )
     return comparable(
-        table_rows.drop("registros_novos", "registros_atualizados", "registros_duplicados", "outliers")
+        audit_rows(run_results(spark, sf_dir), silver, change, watermarks(spark, sf_dir), advanced(spark, sf_dir))
     )
 
 
@@ -374,7 +398,7 @@ def _run_pages(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
         F.lit("incremental").alias("extract_type"),
         F.col("id_compra").cast("int").alias("page"),
         F.lit("/precos").alias("endpoint"),
-        F.concat(F.lit('{"dados":{"items":[]},"resultado":['), "items", F.lit("]}")).alias("body"),
+        F.concat(F.lit('{"dados":{"items":[]},"totalPaginas":99999999,"resultado":['), "items", F.lit("]}")).alias("body"),
     )
 
 
@@ -401,3 +425,335 @@ def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "id_compra", "id_item_compra", "codigo_item_catalogo", "ano_mes", "quantidade", "preco_unitario"
         )
     )
+
+
+# ---- loads that change, break and repeat
+
+# How three loads send a price: as a number, as local text, and as true or false.
+_KINDS = {"k-0": "CAST(id_compra AS BIGINT) % 3 = 0", "k-1": "CAST(id_compra AS BIGINT) % 3 = 1", "k-2": "CAST(id_compra AS BIGINT) % 3 = 2"}
+_CENTS_TEXT = "replace(CAST(CAST(floor(preco_unitario * 100) AS BIGINT) AS STRING), '-', '')"
+
+
+def _kind_pages(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    """Pages of whole cents, as every load writes them in its own way; the second load
+    nests the buyer and the third has no quantity."""
+    cents = F.expr("CAST(floor(preco_unitario * 100) AS BIGINT)")
+    price = {
+        "k-0": F.concat(cents.cast("string"), F.lit("e-2")),
+        "k-1": F.concat(F.lit('"'), (cents / 100).cast("decimal(20,2)").cast("string"), F.lit('"')),
+        "k-2": F.lit("true"),
+    }[run]
+    if run == "k-1":
+        price = F.translate(price, ".", ",")
+    rest = {
+        "k-0": F.concat(F.lit(',"quantidade":'), F.col("quantidade").cast("int").cast("string")),
+        "k-1": F.concat(F.lit(',"quantidade":"'), F.col("quantidade").cast("int").cast("string"), F.lit('","orgao":{"codigo":"'), "id_compra", F.lit('"}')),
+        "k-2": F.lit(',"orgao":[1]'),
+    }[run]
+    item = F.concat_ws("-", "id_item_compra", "arrival", F.col("quantidade").cast("int"))
+    record = F.concat(
+        F.lit('{"idCompra":"'), "id_compra", F.lit('","idItemCompra":"'), item, F.lit('","precoUnitario":'), price, rest,
+        F.lit(',"dataCompra":"'), F.date_format("data_compra", "yyyy-MM-dd"), F.lit('"}'),
+    )
+    rows = purchases(spark, sf_dir, _RUN_COLUMNS).filter(_KINDS[run]).filter("data_compra IS NOT NULL")
+    pages = rows.groupBy("codigo_item_catalogo", "id_compra").agg(F.array_join(F.array_sort(F.collect_list(record)), ",").alias("items"))
+    return pages.select(
+        F.lit(run).alias("run_id"), F.col("codigo_item_catalogo").alias("catmat"), F.lit("FULL").alias("extract_type"),
+        F.col("id_compra").cast("int").alias("page"), F.lit("/precos").alias("endpoint"),
+        F.concat(F.lit('{"totalPaginas":99999999,"resultado":['), "items", F.lit("]}")).alias("body"),
+    )
+
+
+@query(
+    "changing_types",
+    f"""WITH p AS (SELECT DISTINCT id_compra, id_item_compra || '-' || arrival || '-' || CAST(quantidade AS INT) AS id_item_compra,
+      codigo_item_catalogo, CAST(id_compra AS BIGINT) % 3 AS k, floor(preco_unitario * 100) / 100 AS price, CAST(quantidade AS INT) AS q
+      FROM ({purchases_sql(_RUN_COLUMNS)}) WHERE data_compra >= TIMESTAMP '{START_DATE}' AND codigo_item_catalogo NOT IN ('24', '25'))
+    SELECT id_compra, id_item_compra, codigo_item_catalogo, 'k-' || k AS pipeline_run_id,
+      CASE WHEN k < 2 THEN round(price, 4) + 0.0 END AS preco_unitario, CASE WHEN k < 2 THEN q + 0.0::DOUBLE END AS quantidade,
+      k = 1 AS nested, k = 2 AS listed FROM p""",
+)
+def changing_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads whose price is a number, local text and a boolean, whose buyer is
+    absent, nested and a list, read as one and loaded into Silver together."""
+    bronze, silver = new_path(spark, "kinds-bronze"), new_path(spark, "kinds-silver")
+    catalogue = entries(spark, sf_dir)
+    for run in _KINDS:
+        run_bronze(spark, _kind_pages(spark, sf_dir, run), catalogue, bronze, new_path(spark, "kinds-results"))
+    run_silver(spark, bronze, silver, catalogue_mapping(catalogue), settings=SETTINGS)
+    return comparable(
+        read_silver(spark, silver).select(
+            "id_compra", "id_item_compra", "codigo_item_catalogo", "pipeline_run_id", "preco_unitario", "quantidade",
+            F.col("orgao__codigo").isNotNull().alias("nested"), F.col("orgao").isNotNull().alias("listed"),
+        )
+    )
+
+
+def _version_pages(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
+    """Purchases as pages of three runs: orders that 3 divides are in the first two, and
+    the third brings those that 5 divides at twice the price."""
+    wanted = {1: _RUNS["run-1"], 2: _RUNS["run-2"], 3: "CAST(id_compra AS BIGINT) % 5 = 0"}[run]
+    rows = purchases(spark, sf_dir, _RUN_COLUMNS).filter(wanted)
+    record = F.to_json(
+        F.struct(
+            F.col("id_compra").alias("idCompra"),
+            F.concat_ws("-", "id_item_compra", "arrival", F.col("quantidade").cast("int")).alias("idItemCompra"),
+            "quantidade",
+            (F.col("preco_unitario") * (2 if run == 3 else 1)).alias("precoUnitario"),
+            F.date_format("data_compra", "yyyy-MM-dd").alias("dataCompra"),
+        )
+    )
+    pages = rows.groupBy("codigo_item_catalogo", "id_compra").agg(F.array_join(F.array_sort(F.collect_list(record)), ",").alias("items"))
+    return pages.select(
+        F.lit(f"v-{run}").alias("run_id"), F.col("codigo_item_catalogo").alias("catmat"), F.lit("incremental").alias("extract_type"),
+        F.col("id_compra").cast("int").alias("page"), F.lit("/precos").alias("endpoint"),
+        F.concat(F.lit('{"totalPaginas":99999999,"resultado":['), "items", F.lit("]}")).alias("body"),
+    )
+
+
+_ITEM = "id_item_compra || '-' || arrival || '-' || CAST(quantidade AS INT)"
+_VERSIONS_SQL = (
+    f"p AS (SELECT DISTINCT id_compra, {_ITEM} AS id_item_compra, codigo_item_catalogo, quantidade, preco_unitario, data_compra"
+    f" FROM ({purchases_sql(_RUN_COLUMNS)}) WHERE codigo_item_catalogo NOT IN ('24', '25')"
+    f" AND (data_compra IS NULL OR data_compra >= TIMESTAMP '{START_DATE}')),"
+    f" v1 AS (SELECT *, 1 AS run FROM p WHERE {_RUNS['run-1']}),"
+    f" v2 AS (SELECT *, 2 AS run FROM p WHERE {_RUNS['run-2']}),"
+    " v3 AS (SELECT * REPLACE (preco_unitario * 2 AS preco_unitario), 3 AS run FROM p WHERE CAST(id_compra AS BIGINT) % 5 = 0)"
+)
+_LATEST_SQL = (
+    "SELECT * FROM {} QUALIFY row_number() OVER (PARTITION BY id_compra, id_item_compra, codigo_item_catalogo ORDER BY run DESC) = 1"
+)
+_VERSION_ROWS = (
+    "id_compra, id_item_compra, codigo_item_catalogo, strftime(data_compra, '%Y-%m') AS ano_mes, 'v-' || run AS pipeline_run_id,"
+    " round(preco_unitario, 4) + 0.0 AS preco_unitario"
+)
+_VERSION_COLUMNS = ("id_compra", "id_item_compra", "codigo_item_catalogo", "ano_mes", "pipeline_run_id", "preco_unitario")
+
+
+@query(
+    "load_scopes",
+    f"""WITH {_VERSIONS_SQL}, a AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2 UNION ALL SELECT * FROM v3),
+    l AS ({_LATEST_SQL.format('a')})
+    SELECT scope, {_VERSION_ROWS} FROM l, (VALUES ('named'), ('whole')) s(scope) WHERE data_compra IS NOT NULL""",
+)
+def load_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs loaded into Silver file by file, and all at once: the same rows."""
+    bronze, catalogue = new_path(spark, "scopes-bronze"), entries(spark, sf_dir)
+    paths = {scope: new_path(spark, f"{scope}-silver") for scope in ("named", "whole")}
+    mapping = catalogue_mapping(catalogue)
+    for run in (1, 2, 3):
+        stamp = F.lit(f"2024-03-0{run}").cast("timestamp")
+        run_bronze(spark, _version_pages(spark, sf_dir, run), catalogue, bronze, new_path(spark, "scopes-results"), ingested_at=stamp)
+        of_run = read_bronze(spark, bronze).filter(F.col("_pipeline_run_id") == f"v-{run}")
+        names = [x[0] for x in of_run.select("_bronze_object").distinct().collect()]
+        run_silver(spark, bronze, paths["named"], mapping, names, SETTINGS)
+    run_silver(spark, bronze, paths["whole"], mapping, settings=SETTINGS)
+    rows = [read_silver(spark, path).select(F.lit(scope).alias("scope"), *_VERSION_COLUMNS) for scope, path in paths.items()]
+    return comparable(rows[0].unionByName(rows[1]))
+
+
+_LOADED_SQL = f"""{_VERSIONS_SQL},
+    m1 AS (SELECT codigo_item_catalogo AS c, max(data_compra) AS mark FROM v1 GROUP BY ALL),
+    b2 AS (SELECT v2.* FROM v2 LEFT JOIN m1 ON c = codigo_item_catalogo WHERE mark IS NULL OR data_compra IS NULL OR data_compra >= mark - to_days(30)),
+    m2 AS (SELECT c, max(mark) AS mark FROM (SELECT * FROM m1 UNION ALL SELECT codigo_item_catalogo, data_compra FROM b2) GROUP BY ALL),
+    b3 AS (SELECT v3.* FROM v3 LEFT JOIN m2 ON c = codigo_item_catalogo WHERE mark IS NULL OR data_compra IS NULL OR data_compra >= mark - to_days(30)),
+    m3 AS (SELECT c, max(mark) AS mark FROM (SELECT * FROM m2 UNION ALL SELECT codigo_item_catalogo, data_compra FROM b3) GROUP BY ALL),
+    a AS (SELECT * FROM v1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3)"""
+
+
+def _incremental_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Three incremental loads. The second one is cut off before its merge and called
+    again, and the last one is called once more when it is done."""
+    lake, catalogue = Lake(new_path(spark, "lake")), entries(spark, sf_dir)
+    calls = [(1, None), (2, "changes"), (2, None), (3, "merge"), (3, None), (3, None)]
+    for run, stop_after in calls:
+        incremental_load(
+            spark, lake, f"v-{run}", _version_pages(spark, sf_dir, run), catalogue, SETTINGS, stop_after=stop_after
+        )
+    return lake
+
+
+@query(
+    "incremental_load",
+    f"WITH {_LOADED_SQL}, l AS ({_LATEST_SQL.format('a')}) SELECT {_VERSION_ROWS} FROM l WHERE data_compra IS NOT NULL",
+)
+def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _incremental_lake(spark, sf_dir)
+    return comparable(read_silver(spark, lake.path("silver")).select(*_VERSION_COLUMNS))
+
+
+_HELD = "(id_compra, id_item_compra, codigo_item_catalogo) IN (SELECT (id_compra, id_item_compra, codigo_item_catalogo) FROM {} WHERE data_compra IS NOT NULL)"
+
+
+@query(
+    "incremental_audit",
+    f"""WITH {_LOADED_SQL}, h2 AS (SELECT * FROM v1 UNION ALL SELECT * FROM b2),
+    f AS (SELECT 1 AS run, *, 'new' AS change FROM v1 UNION ALL
+      SELECT 2, *, CASE WHEN {_HELD.format('v1')} THEN 'same' ELSE 'new' END FROM b2 UNION ALL
+      SELECT 3, *, CASE WHEN {_HELD.format('h2')} THEN 'updated' ELSE 'new' END FROM b3),
+    raw AS (SELECT DISTINCT id_compra, codigo_item_catalogo AS c FROM ({purchases_sql(_RUN_COLUMNS)}) WHERE codigo_item_catalogo IS NOT NULL),
+    got AS (SELECT run, c, count(*) AS pages FROM (SELECT 1 AS run, * FROM raw WHERE {_RUNS['run-1']}
+      UNION ALL SELECT 2, * FROM raw WHERE {_RUNS['run-2']} UNION ALL SELECT 3, * FROM raw WHERE CAST(id_compra AS BIGINT) % 5 = 0) GROUP BY ALL),
+    every AS (SELECT run, replace(p_brand, 'Brand#', '') AS c FROM part, range(1, 4) r(run)
+      WHERE p_size <> 13 AND p_brand NOT IN ('Brand#24', 'Brand#25') GROUP BY ALL),
+    k AS (SELECT run, codigo_item_catalogo AS c, count(*) FILTER (change = 'new') AS n, count(*) FILTER (change = 'updated') AS u,
+      count(*) FILTER (change = 'same') AS s,
+      count(*) FILTER (data_compra IS NULL OR coalesce(preco_unitario <= 0, true) OR coalesce(quantidade <= 0, true)) AS bad FROM f GROUP BY ALL),
+    m AS (SELECT 1 AS run, c, NULL::TIMESTAMP AS before, mark AS after FROM m1
+      UNION ALL SELECT 2, m2.c, m1.mark, m2.mark FROM m2 LEFT JOIN m1 ON m1.c = m2.c
+      UNION ALL SELECT 3, m3.c, m2.mark, m3.mark FROM m3 LEFT JOIN m2 ON m2.c = m3.c)
+    SELECT 'v-' || every.run AS run_id, CASE WHEN k.c IS NOT NULL THEN 'M-' || every.c END AS material_id, every.c AS catmat,
+      coalesce(pages, 0) AS paginas_consultadas, k.n AS registros_novos, k.u AS registros_atualizados, k.s AS registros_duplicados,
+      k.bad AS registros_invalidos, m.before AS watermark_anterior, m.after AS watermark_novo, 'SUCCESS' AS status
+    FROM every LEFT JOIN got ON got.run = every.run AND got.c = every.c LEFT JOIN k ON k.run = every.run AND k.c = every.c
+      LEFT JOIN m ON m.run = every.run AND m.c = every.c""",
+)
+def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rows the three loads have left; times and record counts with repeats
+    of the raw pages are left out."""
+    lake = _incremental_lake(spark, sf_dir)
+    rows = read_of_runs(spark, lake.path("audit"))
+    return comparable(rows.drop("inicio", "fim", "duracao_segundos", "registros_recebidos", "outliers", "erro"))
+
+
+@query(
+    "repeated_load",
+    f"""WITH raw AS (SELECT * FROM ({purchases_sql(_RUN_COLUMNS)}) WHERE codigo_item_catalogo IS NOT NULL AND {_RUNS['run-1']}),
+    every AS (SELECT DISTINCT replace(p_brand, 'Brand#', '') AS c FROM part WHERE p_size <> 13 AND p_brand NOT IN ('Brand#24', 'Brand#25'))
+    SELECT 'v-1' AS run_id, c AS catmat, 'SUCCESS' AS status, count(DISTINCT id_compra) AS pages_processed,
+      count(id_compra) AS records_written, count(id_compra) AS records_held
+    FROM every LEFT JOIN raw ON c = codigo_item_catalogo GROUP BY c""",
+)
+def repeated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run loaded in part, as a whole and once more: results and rows count once."""
+    bronze, results, catalogue = new_path(spark, "again-bronze"), new_path(spark, "again-results"), entries(spark, sf_dir)
+    pages = stage(_version_pages(spark, sf_dir, 1), "again-pages")
+    for attempt in (pages.filter("page % 2 = 0"), pages, pages):
+        run_bronze(spark, attempt, catalogue, bronze, results)
+    held = read_bronze(spark, bronze).groupBy(F.col("_catmat").alias("catmat")).agg(F.count(F.lit(1)).alias("records_held"))
+    shown = read_of_runs(spark, results).select("run_id", "catmat", "status", "pages_processed", "records_written")
+    return shown.join(held, "catmat", "left").withColumn("records_held", F.coalesce("records_held", F.lit(0)))
+
+
+# ---- tables kept up to date by merges
+
+# Purchase lines with several versions; the one that arrived last counts.
+_LINES_SQL = (
+    "(SELECT * FROM p WHERE data_compra IS NOT NULL AND codigo_item_catalogo IS NOT NULL QUALIFY row_number() OVER"
+    " (PARTITION BY id_compra, id_item_compra, codigo_item_catalogo ORDER BY arrival DESC) = 1)"
+)
+
+
+def _line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = flagged_purchases(spark, sf_dir).filter("data_compra IS NOT NULL AND codigo_item_catalogo IS NOT NULL")
+    versioned = rows.withColumns(
+        {
+            "record_hash": F.expr("record_hash || '-' || CAST(arrival AS STRING)"),
+            "ingestion_timestamp": F.timestamp_micros("arrival"),
+        }
+    )
+    return stage(versioned, "line-versions")
+
+
+@query(
+    "maintained_limits",
+    f"""WITH {flagged_sql(_LINES_SQL)} SELECT codigo_item_catalogo, ano_mes, count(preco_normalizado) AS group_rows,
+      round(quantile_cont(preco_normalizado, 0.25), 4) + 0.0 AS q1, round(quantile_cont(preco_normalizado, 0.75), 4) + 0.0 AS q3
+    FROM f GROUP BY ALL""",
+)
+def maintained_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of code and month after ten merges, from counts that merges keep."""
+    silver, counts = new_path(spark, "kept-silver"), new_path(spark, "kept-counts")
+    rows = _line_versions(spark, sf_dir)
+    for batch in range(10):
+        merge_silver(spark, silver, rows.filter(F.col("arrival") % 10 == batch), SETTINGS, counts_path=counts)
+    kept = PriceCounts(spark, counts, silver).read()
+    found, _ = group_quantiles(kept, GROUP, PRICE, (0.25, 0.75), frequency="n")
+    low, high = F.col("quantiles")[0], F.col("quantiles")[1]
+    return comparable(found.select(*GROUP, "group_rows", low.alias("q1"), high.alias("q3")))
+
+
+_REFRESHED_SQL = (
+    f"{flagged_sql(_LINES_SQL)}, {IQR_SQL}, g AS (SELECT * FROM o WHERE {_ELIGIBLE} AND NOT is_outlier),"
+    f" {mart_sql('mm', 'g', MONTHLY_DIMENSIONS)}, {indicators_sql('mi', 'mm', MONTHLY_SERIES)}"
+)
+
+
+@query("refreshed_marts", f"WITH {_REFRESHED_SQL} SELECT {_series_list(MONTHLY_DIMENSIONS)} FROM mi")
+def refreshed_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart after three merges, each followed by a refresh of the groups
+    and series it has touched."""
+    silver, gold, touched = (new_path(spark, f"refreshed-{n}") for n in ("silver", "gold", "touched"))
+    rows = _line_versions(spark, sf_dir)
+    for batch in range(3):
+        merge_silver(spark, silver, rows.filter(F.col("arrival") % 3 == batch), SETTINGS, touched_path=touched)
+        refresh_gold(spark, silver, gold, touched, SETTINGS)
+    return _series(read_of_codes(spark, f"{gold}/{MONTHLY_TABLE}"), MONTHLY_DIMENSIONS)
+
+
+@query("clustered_marts", f"WITH {MONTHLY_SQL} SELECT {_mart_list(MONTHLY_DIMENSIONS)} FROM mm")
+def clustered_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limits and the monthly mart from a table clustered by code and month."""
+    table = f"clustered_{uuid.uuid4().hex}"
+    cleaned = stage(flagged_purchases(spark, sf_dir), "purchases")
+    write_clustered(cleaned, table, buckets=8)
+    try:
+        eligible = eligible_records(iqr_outliers(read_clustered(spark, table)))
+        mart = stage(monthly_mart(eligible, dated=True), "clustered-mart")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return comparable(mart.select(*MONTHLY_DIMENSIONS, *METRICS, "coeficiente_variacao_pct"))
+
+
+@query(
+    "layer_results",
+    f"""WITH {flagged_sql(_LINES_SQL)}, {IQR_SQL}
+    SELECT 'gold' AS layer, 'SUCCESS' AS status, count(*) AS records_input,
+      count(*) FILTER (WHERE {_ELIGIBLE} AND NOT is_outlier) AS records_valid, 0 AS failed FROM o
+    UNION ALL SELECT 'gold', 'FAILED', 0, 0, 1""",
+)
+def kept_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of a Gold run over merged Silver and of one over no Silver at all."""
+    silver, gold, results = (new_path(spark, f"results-{n}") for n in ("silver", "gold", "table"))
+    merge_silver(spark, silver, _line_versions(spark, sf_dir), SETTINGS)
+    run_gold(spark, silver, gold, SETTINGS, results_path=results, run_id="g-1")
+    try:
+        run_gold(spark, f"{silver}-none", gold, SETTINGS, results_path=results, run_id="g-2")
+    except SchemaError:
+        pass
+    number = lambda name: F.coalesce(F.try_element_at("metrics", F.lit(name)), F.lit(0))
+    return layer_results(spark, results).select(
+        "layer", "status", number("records_input").alias("records_input"), number("records_valid").alias("records_valid"),
+        F.col("error").isNotNull().cast("int").alias("failed"),
+    )
+
+
+_LAST = "TIMESTAMP '2030-01-01'"
+
+
+@query(
+    "page_completeness_stream",
+    _STATUS
+    + """, w AS (SELECT run_id, catmat, max(last_landed) AS last_landed, min(stop) AS stop FROM (
+      SELECT run_id, catmat, page AS last_landed, CASE WHEN coalesce(page >= declared_pages, false)
+        OR (declared_pages IS NULL AND records < 2) THEN page END AS stop FROM facts) GROUP BY ALL),
+    n AS (SELECT w.run_id, w.catmat, stop, last_landed, count(f.page) AS landed FROM w LEFT JOIN facts f
+      ON f.run_id = w.run_id AND f.catmat = w.catmat AND (stop IS NULL OR f.page <= stop) GROUP BY ALL),
+    l AS (SELECT f.run_id, f.catmat, f.page, lag(f.page, 1, 0) OVER (PARTITION BY f.run_id, f.catmat ORDER BY f.page) AS before, stop
+      FROM facts f JOIN w ON w.run_id = f.run_id AND w.catmat = f.catmat WHERE stop IS NULL OR f.page <= stop)
+    SELECT run_id, catmat, 'complete' AS event, CAST(1 AS BIGINT) AS page, CAST(stop AS BIGINT) AS last_page FROM n WHERE landed = stop
+    UNION ALL SELECT run_id, catmat, 'unfinished', 1, last_landed FROM n WHERE stop IS NULL
+    UNION ALL SELECT run_id, catmat, 'gap', before + 1, page - 1 FROM l WHERE page > before + 1""",
+)
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of landed pages, in two parts of a stream that is started twice, and a
+    last page that lets time pass over all others."""
+    folder, out, state = (new_path(spark, f"completeness-{n}") for n in ("pages", "events", "state"))
+    pages = landed_pages(spark, sf_dir).withColumn("landed_at", F.lit("2024-01-01").cast("timestamp"))
+    pages = stage(pages, "completeness-landed")
+    last = pages.limit(1).withColumns({"catmat": F.lit("last"), "landed_at": F.expr(_LAST)})
+    for part in (pages.filter("page % 2 = 0"), pages.filter("page % 2 = 1"), last):
+        part.write.mode("append").parquet(folder)
+        stream_query = start_completeness_stream(spark, page_stream(spark, folder), out, state, PAGE_SIZE)
+        stream_query.awaitTermination()
+    return spark.read.schema(EVENTS).parquet(out).filter("catmat <> 'last'")

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..fixed_values import PAGE_INFO_KEYS, RECORD_KEYS, SOURCE_LABEL, TOTAL_PAGE_KEYS
+from ..functions.scalars import local_text
 from ..operators.hashes import variant_hash
 from ..staging import stage
 
@@ -233,6 +234,13 @@ def infer_record_schema(records: DataFrame, column: str = "record") -> T.StructT
     return kind if isinstance(kind, T.StructType) else T.StructType([])
 
 
+def _mixed_text(value: Column) -> Column:
+    """Text of a field that has values of several kinds within one load."""
+    number = F.schema_of_variant(value).rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)")
+    text = F.try_variant_get(value, "$", "string")
+    return F.when(number, local_text(F.try_variant_get(value, "$", "double"))).otherwise(text)
+
+
 def flat_columns(schema: T.StructType, root: str) -> list[Column]:
     """Columns of a struct with nested fields as ``a__b``; lists stay lists."""
 
@@ -243,7 +251,7 @@ def flat_columns(schema: T.StructType, root: str) -> list[Column]:
             if isinstance(field.dataType, T.StructType) and field.dataType.fields:
                 columns += walk(field.dataType, inner, f"{label}__")
             elif isinstance(field.dataType, T.VariantType):
-                columns.append(F.try_variant_get(inner, "$", "string").alias(label))
+                columns.append(_mixed_text(inner).alias(label))
             else:
                 columns.append(inner.alias(label))
         return columns

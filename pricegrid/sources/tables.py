@@ -7,32 +7,62 @@ Partition values are text and stay text: type inference would turn the code
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..operators.joins import BROADCAST_ROWS, bounded_size
 from ..settings import SchemaError
-from ..staging import path_exists
+from ..staging import delete_path, move_path, path_exists, stage
+from .evolving import read_by_schema
 
 BRONZE_PARTITIONS = ("catmat", "ano_ingestao", "mes_ingestao", "dia_ingestao")
 SILVER_PARTITIONS = ("catmat", "ano", "mes")
+_SORTED = ("data_compra",)
+RUN_PARTITION = "of_run"
+PAGE_KEY = ["_pipeline_run_id", "_catmat", "_page"]
+_CANNOT_MERGE = "CANNOT_MERGE_SCHEMAS"
 _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
-def read_parquet(spark: SparkSession, paths: str | Sequence[str], base: str | None = None) -> DataFrame:
+def read_parquet(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    base: str | None = None,
+    object_column: str | None = None,
+) -> DataFrame:
     """Parquet below a root, or the named files, by column name.
 
-    Files may have different columns; absent ones are null.
+    Files may have different columns; absent ones are null. Columns whose type differs
+    between files get the least type that holds all values (``sources.evolving``).
+    ``object_column`` names a column for the file each row came from.
     """
     names = [paths] if isinstance(paths, str) else list(paths)
     if not names:
         raise SchemaError("no Parquet files were named")
+    root = base or (paths if isinstance(paths, str) else None)
+
+    def reader(merge: bool = False):
+        made = spark.read.option("mergeSchema", merge).option("pathGlobFilter", "*.parquet")
+        return made.option("basePath", root) if root else made
+
+    def with_object(df: DataFrame) -> DataFrame:
+        if object_column is None:
+            return df
+        return df.select("*", F.col("_metadata.file_path").alias(object_column))
+
     before = spark.conf.get(_INFERENCE)
     spark.conf.set(_INFERENCE, "false")
     try:
-        reader = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet")
-        if base:
-            reader = reader.option("basePath", base)
-        return reader.parquet(*names)
+        try:
+            return with_object(reader(merge=True).parquet(*names))
+        except (PySparkException, Py4JJavaError) as error:  # a job's error comes as either
+            if _CANNOT_MERGE not in str(error):
+                raise
+        listed = reader().schema("_ boolean").parquet(*names)
+        return read_by_schema(spark, listed, reader, with_object)
     finally:
         spark.conf.set(_INFERENCE, before)
 
@@ -68,11 +98,54 @@ def write_bronze(records: DataFrame, path: str) -> None:
     )
 
 
-def read_bronze(spark: SparkSession, paths: str | Sequence[str], base: str | None = None) -> DataFrame:
-    """Bronze records with ``_bronze_object``, the file each one came from."""
-    read = read_parquet(spark, paths, base)
-    fields = read.drop("ano_ingestao", "mes_ingestao", "dia_ingestao", "catmat")
-    return read.select(*fields.columns, F.col("_metadata.file_path").alias("_bronze_object"))
+def unwritten(records: DataFrame, path: str) -> DataFrame:
+    """The Bronze records that the table does not hold yet.
+
+    A page of a run and code is written once: a run that is loaded again adds nothing
+    for pages it has, and pages that a broken write has left in part are completed
+    record by record, by hash and number of the copy. Only partitions of the records'
+    codes are read, and of these the columns of the page's key; whole rows of the table
+    are never compared. Pages without a run or number always count as new.
+    """
+    spark = records.sparkSession
+    if not path_exists(spark, path):
+        return records
+    loaded = stage(records.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("loaded")), "loaded-pages")
+    codes = loaded.select(F.col("_catmat").alias("catmat")).distinct()
+    few = bounded_size(codes) <= BROADCAST_ROWS
+    rows = read_parquet(spark, path).join(F.broadcast(codes) if few else codes, "catmat", "left_semi")
+    runs = loaded.select("_pipeline_run_id").distinct()
+    rows = rows.join(F.broadcast(runs) if bounded_size(runs) <= BROADCAST_ROWS else runs, "_pipeline_run_id", "left_semi")
+    # A hash is missing from a table whose loads have all been empty of it.
+    own_hash = F.col("_record_hash") if "_record_hash" in rows.columns else F.lit(None).cast("string")
+    held = stage(rows.select(*PAGE_KEY, own_hash.alias("_record_hash")), "held-records")
+    if held.isEmpty():
+        return records
+    pages = stage(loaded.join(held.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("held")), PAGE_KEY), "held-pages")
+    fresh = records.join(pages, PAGE_KEY, "left_anti")
+    broken = pages.filter("held < loaded")
+    if broken.isEmpty():
+        return fresh
+    copy = F.row_number().over(Window.partitionBy(*PAGE_KEY, "_record_hash").orderBy(F.lit(1)))
+    missing = records.join(broken, PAGE_KEY, "left_semi").withColumn("__copy", copy)
+    there = held.join(broken, PAGE_KEY, "left_semi").withColumn("__copy", copy)
+    same = [missing[c].eqNullSafe(there[c]) for c in (*PAGE_KEY, "_record_hash", "__copy")]
+    missing = missing.join(there, reduce(lambda a, b: a & b, same), "left_anti").drop("__copy")
+    return fresh.unionByName(missing.select(*fresh.columns))
+
+
+def read_bronze(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    base: str | None = None,
+    codes: DataFrame | None = None,
+) -> DataFrame:
+    """Bronze records with ``_bronze_object``, the file each one came from. ``codes``
+    (``catmat``, distinct) are those whose partitions are read; few of them prune files."""
+    read = read_parquet(spark, paths, base, "_bronze_object")
+    if codes is not None:
+        read = read.join(F.broadcast(codes) if bounded_size(codes) <= BROADCAST_ROWS else codes, "catmat", "left_semi")
+    return read.drop("ano_ingestao", "mes_ingestao", "dia_ingestao", "catmat")
 
 
 def silver_layout(silver: DataFrame) -> DataFrame:
@@ -95,7 +168,7 @@ def write_silver(silver: DataFrame, path: str, whole: bool = False) -> None:
     the ``whole`` table."""
     (
         _spread(silver_layout(silver), SILVER_PARTITIONS)
-        .sortWithinPartitions(*SILVER_PARTITIONS, F.col("data_compra").asc_nulls_last())
+        .sortWithinPartitions(*SILVER_PARTITIONS, *[F.col(c).asc_nulls_last() for c in _SORTED if c in silver.columns])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
@@ -104,6 +177,24 @@ def write_silver(silver: DataFrame, path: str, whole: bool = False) -> None:
     )
 
 
+def replace_silver(silver: DataFrame, path: str) -> None:
+    """Replace the whole table: written aside first and then moved into its place, so
+    that a failure while writing leaves the table as it was. Should a run break between
+    the two moves, the next call puts the table that was there back first."""
+    spark = silver.sparkSession
+    place = path.rstrip("/")
+    aside, before = f"{place}__new", f"{place}__old"
+    if path_exists(spark, before) and not path_exists(spark, place):
+        move_path(spark, before, place)
+    for leftover in (aside, before):
+        delete_path(spark, leftover)
+    write_silver(silver, aside, whole=True)
+    if path_exists(spark, place):
+        move_path(spark, place, before)
+    move_path(spark, aside, place)
+    delete_path(spark, before)
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """All Silver rows; a path without data is an error.
 
@@ -116,6 +207,66 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return read.withColumns({"ano": F.col("ano").cast("int"), "mes": F.col("mes").cast("int")})
 
 
+def partition_columns(df: DataFrame) -> DataFrame:
+    """The Silver partition of each record that has one."""
+    return silver_layout(df).select(
+        "catmat", *[F.col(c).cast("int").alias(c) for c in SILVER_PARTITIONS[1:]]
+    )
+
+
+def in_partitions(df: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows in some partitions; broadcast lets Spark prune files."""
+    few = bounded_size(touched) <= BROADCAST_ROWS
+    return df.join(F.broadcast(touched) if few else touched, list(SILVER_PARTITIONS), "left_semi")
+
+
+def drop_emptied(spark: SparkSession, path: str, touched: DataFrame, left: DataFrame) -> None:
+    """Delete the touched partitions that no row of ``left`` (partition columns) is in."""
+    emptied = touched.join(left.distinct(), list(SILVER_PARTITIONS), "left_anti")
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in emptied.toLocalIterator():
+        folder = f"catmat={escape(row['catmat'])}/ano={row['ano']:04d}/mes={row['mes']:02d}"
+        delete_path(spark, f"{path}/{folder}")
+
+
+def write_codes(mart: DataFrame, path: str) -> None:
+    """Replace the rows of the codes that ``mart`` has rows for."""
+    laid = mart.withColumn("catmat", F.col("codigo_item_catalogo"))
+    _spread(laid, ["catmat"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "catmat"
+    ).parquet(path)
+
+
+def read_of_codes(spark: SparkSession, path: str) -> DataFrame:
+    """A mart that ``write_codes`` has written."""
+    return read_parquet(spark, path).drop("catmat")
+
+
+def drop_codes(spark: SparkSession, path: str, codes: DataFrame, left: DataFrame) -> None:
+    """Delete the rows of those of ``codes`` that ``left`` has no row of."""
+    kept = left.select(F.col("codigo_item_catalogo").alias("catmat")).distinct()
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in codes.join(kept, "catmat", "left_anti").toLocalIterator():
+        delete_path(spark, f"{path}/catmat={escape(row['catmat'])}")
+
+
+def write_of_runs(rows: DataFrame, path: str, run: str = "run_id") -> None:
+    """Replace what a table holds of the runs of ``rows``; other runs stay. The runs
+    are partitions, and stay a text column of the files as well."""
+    (
+        rows.withColumn(RUN_PARTITION, F.col(run))
+        .repartition(RUN_PARTITION)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(RUN_PARTITION)
+        .parquet(path)
+    )
+
+
+def read_of_runs(spark: SparkSession, path: str) -> DataFrame:
+    return read_parquet(spark, path).drop(RUN_PARTITION)
+
+
 def write_snapshot(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> bool:
     """Replace a mart, by year and month if asked; an empty one is not written."""
     if df.isEmpty():

@@ -6,6 +6,7 @@ it outlives lost executors and later reads prune its columns.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER_CONF = "spark.checkpoint.dir"
 _local_folder: str | None = None
+_unowned: list[str] = []
 # Of the running thread: a stream's batches have scopes of their own.
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
@@ -36,11 +38,24 @@ def stage_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """An unused path below the shared folder; the innermost scope owns it."""
     path = f"{stage_folder(spark).rstrip('/')}/pricegrid/{name}-{uuid.uuid4().hex}"
-    if _scopes.get():
-        _scopes.get()[-1].append(path)
+    (_scopes.get()[-1] if _scopes.get() else _unowned).append(path)
     return path
 
 
+@atexit.register
+def _delete_unowned() -> None:
+    """Tables staged outside of a scope are read by frames that a caller holds, so they
+    stay as long as the driver runs, and go with it if Spark still does."""
+    spark = SparkSession.getActiveSession() if _unowned else None
+    if spark is None:
+        return
+    for path in _unowned:
+        try:
+            delete_path(spark, path)
+        except Exception:  # Spark is gone, and with it the way to the folder
+            return
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the written table."""
     spark = df.sparkSession
@@ -83,3 +98,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     files, target = _file_system(spark, path)
     files.delete(target, True)
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename; raises when the file system refuses."""
+    files, source = _file_system(spark, path)
+    if not files.rename(source, _file_system(spark, target)[1]):
+        raise OSError(f"cannot move {path} to {target}")

@@ -44,7 +44,7 @@ def record(order, item, price, date, uf="SP"):
 
 
 def page(records, run="r1", code="00456", number=1, at=datetime(2024, 6, 1)):
-    return (run, code, "full", number, "/e", json.dumps({"resultado": records}), at)
+    return (run, code, "full", number, "/e", json.dumps({"resultado": records, "totalPaginas": 99}), at)
 
 
 @pytest.fixture(scope="module")
