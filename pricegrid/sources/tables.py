@@ -11,16 +11,17 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..operators.joins import BROADCAST_ROWS, bounded_size
 from ..settings import SchemaError
 from ..staging import delete_path, move_path, path_exists, stage
-from .evolving import read_by_schema
+from .evolving import fits, read_by_schema
 
 BRONZE_PARTITIONS = ("catmat", "ano_ingestao", "mes_ingestao", "dia_ingestao")
 SILVER_PARTITIONS = ("catmat", "ano", "mes")
 _SORTED = ("data_compra",)
+_COLUMNS = "_columns"
 RUN_PARTITION = "of_run"
 PAGE_KEY = ["_pipeline_run_id", "_catmat", "_page"]
 _CANNOT_MERGE = "CANNOT_MERGE_SCHEMAS"
@@ -165,9 +166,14 @@ def silver_layout(silver: DataFrame) -> DataFrame:
 
 def write_silver(silver: DataFrame, path: str, whole: bool = False) -> None:
     """Replace the partitions (code, year, month) that ``silver`` has rows for, or
-    the ``whole`` table."""
+    the ``whole`` table. The table's columns are noted beside it, so that reading it
+    need not open its files."""
+    laid = silver_layout(silver)
+    fresh = whole or not path_exists(silver.sparkSession, path)
+    if not fresh:  # before the rows: a column that no file has yet is null
+        _note_columns(laid, path, fresh)
     (
-        _spread(silver_layout(silver), SILVER_PARTITIONS)
+        _spread(laid, SILVER_PARTITIONS)
         .sortWithinPartitions(*SILVER_PARTITIONS, *[F.col(c).asc_nulls_last() for c in _SORTED if c in silver.columns])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
@@ -175,6 +181,23 @@ def write_silver(silver: DataFrame, path: str, whole: bool = False) -> None:
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)
     )
+    if fresh:
+        _note_columns(laid, path, fresh)
+
+
+def _note_columns(laid: DataFrame, path: str, fresh: bool) -> None:
+    """Note a table's columns, or add to them. Without a note, or with a column that has
+    changed its type, the files themselves are asked again (``read_parquet``)."""
+    spark, note = laid.sparkSession, f"{path.rstrip('/')}/{_COLUMNS}"
+    if not fresh and not path_exists(spark, note):
+        return
+    new = {f.name: f.dataType for f in laid.schema.fields if f.name not in SILVER_PARTITIONS}
+    known = {} if fresh else {f.name: f.dataType for f in spark.read.parquet(note).schema.fields}
+    if not fits(new, known):
+        delete_path(spark, note)
+    elif set(new) - set(known):
+        fields = [T.StructField(name, kind) for name, kind in (known | new).items()]
+        spark.createDataFrame([], T.StructType(fields)).write.mode("overwrite").parquet(note)
 
 
 def replace_silver(silver: DataFrame, path: str) -> None:
@@ -203,7 +226,12 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """
     if not path_exists(spark, path):
         raise SchemaError(f"no Silver data below {path}")
-    read = read_parquet(spark, path)
+    note = f"{path.rstrip('/')}/{_COLUMNS}"
+    if path_exists(spark, note):
+        kinds = T.StructType([*spark.read.parquet(note).schema.fields, *[T.StructField(c, T.StringType()) for c in SILVER_PARTITIONS]])
+        read = spark.read.schema(kinds).option("pathGlobFilter", "*.parquet").parquet(path)
+    else:
+        read = read_parquet(spark, path)
     return read.withColumns({"ano": F.col("ano").cast("int"), "mes": F.col("mes").cast("int")})
 
 

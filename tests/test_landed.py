@@ -218,8 +218,10 @@ def test_deep_manifests(spark):
 def test_two_loads_with_other_values_are_read_together(spark, tmp_path):
     entries = catalogue_entries(spark, [{"catmat": "00456"}])
     bronze = str(tmp_path / "bronze")
-    for body in ('[{"p":10.5,"q":null,"l":[]}]', '[{"p":10.25,"q":7,"l":[{"x":1}]}]', '[{"p":3,"q":null,"l":[{"x":2.5}]}]'):
-        run_bronze(spark, pages(spark, [body]), entries, bronze, str(tmp_path / "results"))
+    bodies = ('[{"p":10.5,"q":null,"l":[]}]', '[{"p":10.25,"q":7,"l":[{"x":1}]}]', '[{"p":3,"q":null,"l":[{"x":2.5}]}]')
+    for n, body in enumerate(bodies):  # runs of their own: a page of one run is only written once
+        landed = pages(spark, [body]).withColumn("run_id", F.lit(f"run-{n}"))
+        run_bronze(spark, landed, entries, bronze, str(tmp_path / "results"))
     read = read_bronze(spark, bronze).orderBy("p")
     assert [(r.p, r.q, r.l and r.l[0].x) for r in read.collect()] == [(3.0, None, 2.5), (10.25, 7.0, 1.0), (10.5, None, None)]
 
