@@ -686,11 +686,11 @@ def _line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM f GROUP BY ALL""",
 )
 def maintained_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quartiles of code and month after ten merges, from counts that merges keep."""
+    """Quartiles of code and month after four merges, from counts that merges keep."""
     silver, counts = new_path(spark, "kept-silver"), new_path(spark, "kept-counts")
     rows = _line_versions(spark, sf_dir)
-    for batch in range(10):
-        merge_silver(spark, silver, rows.filter(F.col("arrival") % 10 == batch), SETTINGS, counts_path=counts)
+    for batch in range(4):
+        merge_silver(spark, silver, rows.filter(F.col("arrival") % 4 == batch), SETTINGS, counts_path=counts)
     kept = PriceCounts(spark, counts, silver).read()
     found, _ = group_quantiles(kept, GROUP, PRICE, (0.25, 0.75), frequency="n")
     low, high = F.col("quantiles")[0], F.col("quantiles")[1]
