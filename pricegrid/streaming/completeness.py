@@ -23,7 +23,7 @@ from ..sources.page_order import SEQUENCE, ends_sequence
 
 DELAY = "1 hour"
 EVENTS = "run_id string, catmat string, event string, page bigint, last_page bigint"
-_STATE = "ranges string, stop bigint, told boolean"
+_STATE = "ranges string, stop bigint, told boolean, due bigint"
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -75,33 +75,29 @@ def _read(text: str) -> list[tuple[int, int]]:
     return [(int(a), int(b)) for a, b in (r.split("-") for r in text.split(",") if r)]
 
 
-def _follow(delay_ms: int):
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        text, stop, told = state.get if state.exists else ("", None, False)
-        ranges, events = _read(text), []
-        if state.hasTimedOut:
-            if not told:
-                events = [("gap", a, b) for a, b in gaps(ranges, stop)]
-                if stop is None:
-                    events.append(("unfinished", 1, ranges[-1][1]))
-            state.remove()
-        else:
-            latest = None
-            for rows in batches:
-                ranges = added(ranges, rows["page"].tolist())
-                ends = rows.loc[rows["ends"], "page"]
-                if len(ends):
-                    stop = int(min(ends.min(), stop if stop is not None else ends.min()))
-                arrived = rows["landed_at"].max()
-                latest = arrived if latest is None else max(latest, arrived)
-            if not told and stop is not None and not gaps(ranges, stop):
-                events, told = [("complete", 1, stop)], True
-            state.update((_shown(ranges), stop, told))
-            due = int(latest.timestamp() * 1000) + delay_ms
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(*key, *e) for e in events], columns=["run_id", "catmat", "event", "page", "last_page"])
-
-    return follow
+def _follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Times out once the watermark, which is behind event time by the delay, has passed
+    the last page."""
+    text, stop, told, due = state.get if state.exists else ("", None, False, 0)
+    ranges, events = _read(text), []
+    if state.hasTimedOut:
+        if not told:
+            events = [("gap", a, b) for a, b in gaps(ranges, stop)]
+            if stop is None:
+                events.append(("unfinished", 1, ranges[-1][1]))
+        state.remove()
+    else:
+        for rows in batches:
+            ranges = added(ranges, rows["page"].tolist())
+            ends = rows.loc[rows["ends"], "page"]
+            if len(ends):
+                stop = int(min(ends.min(), stop if stop is not None else ends.min()))
+            due = max(due, int(rows["landed_at"].max().timestamp() * 1000))
+        if not told and stop is not None and not gaps(ranges, stop):
+            events, told = [("complete", 1, stop)], True
+        state.update((_shown(ranges), stop, told, due))
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+    yield pd.DataFrame([(*key, *e) for e in events], columns=["run_id", "catmat", "event", "page", "last_page"])
 
 
 def sequence_events(pages: DataFrame, page_size: int = 500, delay: str = DELAY) -> DataFrame:
@@ -109,9 +105,8 @@ def sequence_events(pages: DataFrame, page_size: int = 500, delay: str = DELAY)
     is so, or, once the delay is over, each ``gap`` up to the stop or the last page, and
     ``unfinished`` for a sequence whose stop has not been seen."""
     arrived = page_arrivals(pages, page_size).withWatermark("landed_at", delay)
-    delay_ms = int(pd.Timedelta(delay).total_seconds() * 1000)
     return arrived.groupBy(*SEQUENCE).applyInPandasWithState(
-        _follow(delay_ms), EVENTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+        _follow, EVENTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
