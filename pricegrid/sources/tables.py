@@ -6,7 +6,8 @@ Partition values are text and stay text: type inference would turn the code
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -26,6 +27,7 @@ RUN_PARTITION = "of_run"
 PAGE_KEY = ["_pipeline_run_id", "_catmat", "_page"]
 _CANNOT_MERGE = "CANNOT_MERGE_SCHEMAS"
 _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+_LEAST_SIZE = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
 def read_parquet(
@@ -68,7 +70,7 @@ def read_parquet(
         spark.conf.set(_INFERENCE, before)
 
 
-def _spread(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Bring a partition's rows together, but split one that is too large.
 
     AQE sizes the result: small partitions share a task, a hot one gets several
@@ -77,6 +79,19 @@ def _spread(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(p) for p in partitions])
 
 
+@contextmanager
+def many_writers(spark: SparkSession) -> Iterator[None]:
+    """While a partitioned table is written: small partitions share a task only as far
+    as no core is idle, as opening hundreds of files takes longer than their few rows.
+    The number of files stays the same."""
+    before = spark.conf.get(_LEAST_SIZE)
+    spark.conf.set(_LEAST_SIZE, "1b")
+    try:
+        yield
+    finally:
+        spark.conf.set(_LEAST_SIZE, before)
+
+
 def write_bronze(records: DataFrame, path: str) -> None:
     """Append records by code and day of ingestion; type, run and page are columns."""
     day = F.to_timestamp("_ingestion_timestamp")
@@ -90,13 +105,9 @@ def write_bronze(records: DataFrame, path: str) -> None:
             "dia_ingestao": F.date_format(day, "dd"),
         }
     )
-    (
-        _spread(parts, BRONZE_PARTITIONS)
-        .write.mode("append")
-        .option("compression", "snappy")
-        .partitionBy(*BRONZE_PARTITIONS)
-        .parquet(path)
-    )
+    laid = spread(parts, BRONZE_PARTITIONS).write.mode("append").option("compression", "snappy")
+    with many_writers(records.sparkSession):
+        laid.partitionBy(*BRONZE_PARTITIONS).parquet(path)
 
 
 def unwritten(records: DataFrame, path: str) -> DataFrame:
@@ -172,15 +183,17 @@ def write_silver(silver: DataFrame, path: str, whole: bool = False) -> None:
     fresh = whole or not path_exists(silver.sparkSession, path)
     if not fresh:  # before the rows: a column that no file has yet is null
         _note_columns(laid, path, fresh)
-    (
-        _spread(laid, SILVER_PARTITIONS)
-        .sortWithinPartitions(*SILVER_PARTITIONS, *[F.col(c).asc_nulls_last() for c in _SORTED if c in silver.columns])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*SILVER_PARTITIONS)
-        .parquet(path)
-    )
+    order = [*SILVER_PARTITIONS, *[F.col(c).asc_nulls_last() for c in _SORTED if c in silver.columns]]
+    with many_writers(silver.sparkSession):
+        (
+            spread(laid, SILVER_PARTITIONS)
+            .sortWithinPartitions(*order)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static" if whole else "dynamic")
+            .option("compression", "snappy")
+            .partitionBy(*SILVER_PARTITIONS)
+            .parquet(path)
+        )
     if fresh:
         _note_columns(laid, path, fresh)
 
@@ -260,9 +273,9 @@ def drop_emptied(spark: SparkSession, path: str, touched: DataFrame, left: DataF
 def write_codes(mart: DataFrame, path: str) -> None:
     """Replace the rows of the codes that ``mart`` has rows for."""
     laid = mart.withColumn("catmat", F.col("codigo_item_catalogo"))
-    _spread(laid, ["catmat"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "catmat"
-    ).parquet(path)
+    writer = spread(laid, ["catmat"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with many_writers(mart.sparkSession):
+        writer.partitionBy("catmat").parquet(path)
 
 
 def read_of_codes(spark: SparkSession, path: str) -> DataFrame:
@@ -299,9 +312,10 @@ def write_snapshot(df: DataFrame, path: str, partitions: Sequence[str] = ()) ->
     """Replace a mart, by year and month if asked; an empty one is not written."""
     if df.isEmpty():
         return False
-    shaped = _spread(df, partitions) if partitions else df
+    shaped = spread(df, partitions) if partitions else df
     writer = shaped.write.mode("overwrite").option("compression", "snappy")
     if partitions:
         writer = writer.partitionBy(*partitions).option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    with many_writers(df.sparkSession):
+        writer.parquet(path)
     return True
