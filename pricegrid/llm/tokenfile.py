@@ -32,8 +32,8 @@ CACHE = 1_000_000  # distinct pieces a Python worker remembers
 
 _GROUP = 20_000_000  # characters encoded together
 _JOINED = 200  # pieces encoded in one string
-_BLANKS = ("  ", " \t", " \n", " \x0b", " \x0c", " \r")
-_WIDE_BLANK = re.compile(" [\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# White space that may share a token with the space before it.
+_BLANK = r"[ \t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 SHARD_SCHEMA = (
     "part int, seq int, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>,"
@@ -48,7 +48,8 @@ class WordEncoder:
     token, so a text can be cut there. Texts where a space stands at an edge or before
     other white space, or that hold a special token, are encoded whole. Of the cut
     texts only pieces that are not remembered are encoded, many in one string: the
-    bytes that each token stands for tell where a piece ends.
+    bytes that each token stands for tell where a piece ends. Pieces and their ids are
+    Arrow arrays throughout, so no piece becomes an object of its own.
     """
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
@@ -56,8 +57,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([r"\A ", r" \z", f" {_BLANK}", *special])
+        self.known = pa.array([], pa.large_string())
+        self.known_ids = pa.array([], pa.large_binary())
         self.cache_size = cache
         size = self.tokenizer.get_vocab_size()
         self.width = max(1, int(size - 1).bit_length())
@@ -65,55 +68,61 @@ class WordEncoder:
         # A character of a byte-level token stands for one byte.
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
 
-    def _whole(self, text: str) -> bool:
-        if text[:1] == " " or text[-1:] == " " or any(s in text for s in self.special):
-            return True
-        blank = any(pair in text for pair in _BLANKS)
-        return blank or not text.isascii() and _WIDE_BLANK.search(text) is not None
-
     def _run(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in done]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+    def _pieces(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
         """Ids of pieces, each with a space before it."""
-        if not pieces:
-            return []
+        n = len(pieces)
+        if not n:
+            return pa.array([], pa.large_binary())
         size = np.dtype(self.kind).itemsize
-        lines = ["".join([" " + c for c in pieces[i : i + _JOINED]]) for i in range(0, len(pieces), _JOINED)]
-        ids = b"".join(self._run(lines))
-        ends = np.cumsum([len(c.encode()) + 1 for c in pieces])
-        cuts = size * (np.searchsorted(np.cumsum(self.token_bytes[np.frombuffer(ids, self.kind)]), ends) + 1)
-        cuts = [0, *cuts.tolist()]
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def _remembered(self, pieces: list[str]) -> list[bytes]:
-        cache = self.cache
-        missing = [c for c in pieces if c not in cache]
-        if len(cache) + len(missing) > self.cache_size:
-            self.cache = cache = {c: cache[c] for c in pieces if c in cache}
-        cache.update(zip(missing, self._pieces(missing), strict=True))
-        return [cache[c] for c in pieces]
+        bounds = pa.array([*range(0, n, _JOINED), n], pa.int32())
+        lines = pc.binary_join(pa.ListArray.from_arrays(bounds, pieces), pa.scalar(" ", pa.large_string()))
+        ids = b"".join(self._run([f" {line}" for line in lines.to_pylist()]))
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy().astype(np.int64) + 1)
+        cuts = np.zeros(n + 1, np.int64)
+        token_ends = np.cumsum(self.token_bytes[np.frombuffer(ids, self.kind)])
+        cuts[1:] = size * (np.searchsorted(token_ends, ends) + 1)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
+
+    def _remembered(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct pieces; when the memory is full only theirs stay in it."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(pc.is_null(at))
+        if len(self.known) + len(new) > self.cache_size:
+            held = at.drop_null()
+            self.known, self.known_ids = self.known.take(held), self.known_ids.take(held)
+            at = pc.index_in(pieces, value_set=self.known)
+        places = at.fill_null(-1).to_numpy().astype(np.int64)
+        places[places < 0] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, new])
+        self.known_ids = pa.concat_arrays([self.known_ids, self._pieces(new)])
+        return self.known_ids.take(pa.array(places))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if self._whole(t)]
+        rows = pa.array(texts, pa.large_string())
+        is_whole = pc.match_substring_regex(rows, self.whole).to_numpy(zero_copy_only=False).astype(bool)
+        whole = np.flatnonzero(is_whole).tolist()
         for i, ids in zip(whole, self._run([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        cut = sorted(set(range(len(texts))).difference(whole))
-        split = pc.split_pattern(pa.array([texts[i] for i in cut], pa.string()), " ")
+        cut = np.flatnonzero(~is_whole)
+        split = pc.split_pattern(rows.take(pa.array(cut)), " ")
         bounds = split.offsets.to_numpy().astype(np.int64)
-        coded = pc.dictionary_encode(split.flatten())
-        known = self._remembered(coded.dictionary.to_pylist())
-        heads = self._run(split.flatten().take(pa.array(bounds[:-1])).to_pylist())
+        pieces = split.flatten()
+        coded = pc.dictionary_encode(pieces)
+        known = self._remembered(coded.dictionary)
+        heads = self._run(pieces.take(pa.array(bounds[:-1])).to_pylist())
         # Words by their number; a text's first piece, which has no space, by its text's.
         word = coded.indices.to_numpy().astype(np.int64)
         word[bounds[:-1]] = len(known) + np.arange(len(cut))
-        taken = pa.array(known + heads, pa.large_binary()).take(pa.array(word))
+        taken = pa.concat_arrays([known, pa.array(heads, pa.large_binary())]).take(pa.array(word))
         _, ends, data = taken.buffers()
         ids = data.to_pybytes() if data is not None else b""
         ends = np.frombuffer(ends, np.int64)[: len(word) + 1][bounds] if len(word) else bounds
-        for i, a, b in zip(cut, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        for i, a, b in zip(cut.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             out[i] = ids[a:b]
         return out
 
