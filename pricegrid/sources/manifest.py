@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..settings import DataQualityError
 from ..staging import stage
 
+# Names that one task puts in order.
+_TASK_NAMES = 500_000
+
 
 def _named(objects: Column) -> Column:
     """Names in an ``objects`` list: texts, or objects with ``object_name``."""
@@ -58,7 +61,9 @@ def manifest_objects(manifests: DataFrame, column: str = "manifest") -> DataFram
     if not found:
         none = rows.limit(0).select("__row", F.lit("").alias("object_name"), F.lit(0).alias("position"))
         return none.select("__row.*", "object_name", "position")
-    mentions = reduce(DataFrame.unionByName, found)
+    mentions = stage(reduce(DataFrame.unionByName, found), "manifest-names")
+    # Packed names say little about the memory it takes to sort them, so they are counted.
+    mentions = mentions.repartition(-(-mentions.count() // _TASK_NAMES) or 1, "__row")
     order = Window.partitionBy("__row").orderBy("__path")  # the names of one manifest
     placed = mentions.withColumn("__n", F.row_number().over(order) - 1)
     first = placed.groupBy("__row", "object_name").agg(F.min("__n").alias("position"))

@@ -18,6 +18,7 @@ from pricegrid.sources.landed import (
     settled_pages,
     with_metadata,
 )
+from pricegrid.sources import manifest as manifest_source
 from pricegrid.sources.manifest import manifest_objects, require_objects
 from pricegrid.sources.page_order import page_facts, page_status, sequence_results
 from pricegrid.sources.tables import read_bronze
@@ -250,3 +251,10 @@ def test_bronze_load_keeps_codes_as_text(spark, tmp_path):
     assert read.filter(F.col("_bronze_object").contains("catmat=00456")).count() == 2
     got = {r.catmat: (r.status, r.records_written, r.error) for r in spark.read.parquet(results).collect()}
     assert got == {"00456": ("FAILED", 2, "NOT_JSON"), "7": ("SUCCESS", 1, None)}
+
+
+def test_names_of_manifests_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(manifest_source, "_TASK_NAMES", 20)
+    rows = spark.range(50).selectExpr("id", """'{"objects":["a","b"]}' AS manifest""")
+    found = manifest_objects(rows)
+    assert found.count() == 100 and found.rdd.getNumPartitions() == 5
