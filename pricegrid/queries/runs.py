@@ -28,7 +28,7 @@ from ..plans.price_counts import PriceCounts
 from ..plans.results import audit_rows, layer_results
 from ..plans.silver import run_silver
 from ..settings import SchemaError
-from ..sources.clustered import read_clustered, write_clustered
+from ..sources.clustered import bucket_count, read_clustered, write_clustered
 from ..sources.landed import bronze_records
 from ..sources.tables import read_bronze, read_of_codes, read_of_runs, read_silver, write_bronze, write_silver
 from ..staging import new_path, path_exists, stage
@@ -720,7 +720,7 @@ def clustered_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limits and the monthly mart from a table clustered by code and month."""
     table = f"clustered_{uuid.uuid4().hex}"
     cleaned = stage(flagged_purchases(spark, sf_dir), "purchases")
-    write_clustered(cleaned, table, buckets=8)
+    write_clustered(cleaned, table, buckets=max(8, bucket_count(cleaned.count())))
     try:
         eligible = eligible_records(iqr_outliers(read_clustered(spark, table)))
         mart = stage(monthly_mart(eligible, dated=True), "clustered-mart")

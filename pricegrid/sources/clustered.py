@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..settings import SchemaError
 
 CLUSTERED_BY = ("codigo_item_catalogo", "ano_mes")
-BUCKET_ROWS = 5_000_000
+# A bucket is shuffled to one task, at up to about 200 bytes a row and unevenly.
+BUCKET_ROWS = 2_000_000
 
 
 def bucket_count(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:

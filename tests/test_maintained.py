@@ -154,6 +154,11 @@ def test_clustered_silver_is_not_shuffled(spark, mapping):
     assert [bucket_count(n, 100) for n in (0, 1, 100, 101, 128, 200, 10_000)] == [1, 1, 1, 1, 1, 2, 128]
 
 
+def test_a_bucket_stays_small_in_a_large_table():
+    # Rows of the 6 GB tables; shuffled at about 185 bytes a row, and unevenly.
+    assert 185_000_000 / bucket_count(185_000_000) * 185 < 500e6
+
+
 # ---- completeness
 
 
