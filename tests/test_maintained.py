@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -21,6 +22,7 @@ from pricegrid.sources.clustered import bucket_count, read_clustered, write_clus
 from pricegrid.sources.landed import PAGE_SCHEMA
 from pricegrid.sources.tables import read_of_codes, read_silver
 from pricegrid.staging import path_exists, stage
+from pricegrid.streaming import completeness
 from pricegrid.streaming.completeness import EVENTS, added, gaps, start_completeness_stream
 from pricegrid.streaming.pages import page_stream
 from test_runs import cleaned
@@ -178,6 +180,28 @@ def test_ranges_and_gaps():
         assert len(found) == len({a for a, _ in found}) and all(x[1] + 1 < y[0] for x, y in zip(found, found[1:], strict=False))
 
 
+def test_a_sequence_without_events_makes_no_frame():
+    class State:
+        exists, hasTimedOut, kept = False, False, None
+
+        def update(self, value):
+            self.kept = value
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def setTimeoutTimestamp(self, at):
+            self.due = at
+
+    state, rows = State(), pd.DataFrame({"mark": [2 * 3 + 1, 2 * 1, 2 * 5 + 1], "landed_ms": [7, 9, 8]})
+    assert list(completeness._follow(("r", "a"), iter([rows]), state)) == []
+    assert state.kept == ("1-1,3-3,5-5", 3, False, 9) and state.due == 9
+    last = pd.DataFrame({"mark": [2 * 2], "landed_ms": [10]})
+    state.exists, state.get = True, state.kept
+    (found,) = completeness._follow(("r", "a"), iter([last]), state)
+    assert found.values.tolist() == [["r", "a", "complete", 1, 3]]
+
+
 def test_completeness_of_late_and_shuffled_pages(spark, tmp_path):
     folder, out, state = (str(tmp_path / n) for n in ("pages", "events", "state"))
     at = datetime(2024, 1, 1)
