@@ -18,8 +18,11 @@ _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def strip(col: Column) -> Column:
-    """Trim white space of any kind, not only blanks."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Trim white space of any kind, not only blanks. Text that has plain characters at
+    both ends once its blanks are gone is done; only the rest is compared with all kinds."""
+    text = F.trim(col)
+    plain = F.substring(text, 1, 1).between("!", "~") & F.substring(text, -1, 1).between("!", "~")
+    return F.when(plain, text).otherwise(F.btrim(col, F.lit(WHITESPACE)))
 
 
 def catalogue_code(col: Column, dtype: T.DataType) -> Column:
@@ -37,8 +40,10 @@ def local_number(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.NumericType):
         number = col.cast("double")
         return F.when(F.isnan(number), None).otherwise(number)
-    text = F.translate(F.translate(strip(col.cast("string")), ".", ""), ",", ".")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    text = strip(col.cast("string"))
+    text = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    # An extract names the text once, so it is not worked out again for the cast.
+    return F.regexp_extract(text, _NUMBER, 0).try_cast("double")
 
 
 def local_text(col: Column) -> Column:

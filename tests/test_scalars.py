@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricegrid.functions.names import rename_snake_case, snake_case, snake_case_values
-from pricegrid.functions.scalars import catalogue_code, local_number, utc_timestamp
+from pricegrid.functions.scalars import WHITESPACE, catalogue_code, local_number, strip, utc_timestamp
 from pricegrid.settings import SchemaError
 
 
@@ -59,6 +59,22 @@ def test_local_numbers(spark):
     assert _one(spark, [3], "int", local_number) == [3.0]
 
 
+def test_white_space_of_any_kind_is_trimmed(spark):
+    texts = [f"{a}{b}{c}" for a in ("", " ", "\t ", " \u00a0", "\u3000") for b in ("x", "é a", "~", "ã", "")
+             for c in ("", " ", "\n", " \x1f ", "\u2028")] + list(WHITESPACE) + [None]
+    got = _one(spark, texts, "string", lambda col, kind: strip(col))
+    assert got == [None if t is None else t.strip() for t in texts]
+
+
+def test_plain_text_is_not_compared_with_all_white_space(spark):
+    # Text was mapped character by character, and worked out twice for the check and the cast.
+    rows = spark.createDataFrame([(" 1.234,5 ",)], "v string")
+    typed = rows.select(local_number(F.col("v"), rows.schema["v"].dataType).alias("x"))
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan.lower() and plan.lower().count("cast(") == 1
+    assert typed.first()[0] == 1234.5
+
+
 def test_timestamps_are_utc(spark):
     texts = ["2024-05-01", "2024-05-01T10:00:00-03:00", "20240501", "bad", "10:30:00", None]
     assert _one(spark, texts, "string", utc_timestamp) == [
