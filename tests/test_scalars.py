@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.functions.names import rename_snake_case, snake_case, snake_case_values
 from pricegrid.functions.scalars import WHITESPACE, catalogue_code, local_number, strip, utc_timestamp
+from pricegrid.queries.registry import rounded_value
 from pricegrid.settings import SchemaError
 
 
@@ -66,7 +67,7 @@ def test_white_space_of_any_kind_is_trimmed(spark):
     assert got == [None if t is None else t.strip() for t in texts]
 
 
-def test_plain_text_is_not_compared_with_all_white_space(spark):
+def test_a_number_is_worked_out_once(spark):
     # Text was mapped character by character, and worked out twice for the check and the cast.
     rows = spark.createDataFrame([(" 1.234,5 ",)], "v string")
     typed = rows.select(local_number(F.col("v"), rows.schema["v"].dataType).alias("x"))
@@ -75,6 +76,15 @@ def test_plain_text_is_not_compared_with_all_white_space(spark):
     assert typed.first()[0] == 1234.5
 
 
+def test_values_are_rounded_without_decimal_text(spark):
+    values = [1.00005, -1.00005, 0.00004, -0.00004, 2.5, 1e10 + 0.12345, -3e11 - 0.5, 1e300, float("inf"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in rows.select("v", rounded_value(F.col("v")).alias("x"), (F.round("v", 4) + F.lit(0.0)).alias("y")).collect():
+        assert r.x == r.y and str(r.x) == str(r.y)
+    nan = spark.range(1).select(rounded_value(F.lit(float("nan"))).alias("x")).first()[0]
+    assert nan != nan
+
+
 def test_timestamps_are_utc(spark):
     texts = ["2024-05-01", "2024-05-01T10:00:00-03:00", "20240501", "bad", "10:30:00", None]
     assert _one(spark, texts, "string", utc_timestamp) == [
