@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricegrid.operators.canonical import canonical_columns, canonical_records
+from pricegrid.operators.catalogue import catalogue_entries, catalogue_mapping
 from pricegrid.operators.dedup import dedup_keys, deduplicate
 from pricegrid.operators.derive import derived_columns
 from pricegrid.operators.joins import attach_dimension, attach_groups, require_unique
@@ -13,6 +14,7 @@ from pricegrid.operators.periods import within_period
 from pricegrid.operators.quality import quality_flags, silver_checks
 from pricegrid.operators.quantiles import group_quantiles, value_band
 from pricegrid.operators.units import convert_units
+from pricegrid.plans.silver import transform_silver
 from pricegrid.settings import DataQualityError
 
 
@@ -220,3 +222,19 @@ def test_unit_conversion(spark):
     rules = spark.createDataFrame([("sc", "KG", 50.0)], "de string, para string, fator double")
     got = {r.i: (r.preco_normalizado, r.unidade_normalizada, r.conversao_desconhecida) for r in convert_units(rows, rules).collect()}
     assert got == {1: (2.0, "kg", False), 2: (3.0, "kg", False), 3: (4.0, "L", True), 4: (5.0, "kg", False), 5: (6.0, "L", False)}
+
+
+def test_silver_writes_only_columns_that_are_read(spark):
+    raw = spark.createDataFrame(
+        [("1", "10,5", "2", "2024-01-02", "kg", "h")],
+        "codigoItemCatalogo string, precoUnitario string, quantidade string, dataCompra string,"
+        " nomeUnidadeMedida string, _record_hash string",
+    )
+    mapping = catalogue_mapping(catalogue_entries(spark, [{"catmat": "1", "material_id": "M"}]))
+    whole = transform_silver(raw, mapping).records
+    some = transform_silver(raw, mapping, columns=("quantidade",)).records
+    assert set(some.columns) == {
+        "quantidade", "codigo_item_catalogo", "ano_mes", "preco_normalizado", "is_valid_record",
+        "is_outlier", "outlier_reason",
+    }
+    assert some.collect() == whole.select(*some.columns).collect()
