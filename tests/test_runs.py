@@ -28,7 +28,7 @@ from pricegrid.settings import DataQualityError, SchemaError, Settings
 from pricegrid.sources.database import publish
 from pricegrid.sources.landed import PAGE_SCHEMA
 from pricegrid.sources.tables import read_bronze, read_silver, write_silver, write_snapshot
-from pricegrid.staging import path_exists, stage, stage_scope
+from pricegrid.staging import path_exists, stage, stage_scope, unstage
 from pricegrid.streaming.pages import page_stream, start_silver_stream
 
 RECORD = T.StructType(
@@ -279,6 +279,16 @@ def test_scoped_stages_are_deleted(spark):
     assert not path_exists(spark, folder)
 
 
+def test_a_stage_can_go_before_its_scope(spark):
+    with stage_scope(spark):
+        kept, gone = stage(spark.range(3), "x"), stage(spark.range(3), "y")
+        folder = gone.inputFiles()[0].rsplit("/", 1)[0]
+        unstage(gone)
+        assert not path_exists(spark, folder) and kept.count() == 3
+        unstage(gone)
+        unstage(spark.range(3))  # not a staged table
+
+
 def test_stream_equals_batch(spark, entries, tmp_path):
     mapping = catalogue_mapping(entries)
     folder, silver = tmp_path / "landing", str(tmp_path / "s")
