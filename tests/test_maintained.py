@@ -64,6 +64,31 @@ def test_limits_from_counts_after_merges(spark, mapping, tmp_path):
     assert not path_exists(spark, kept._note)
 
 
+def test_a_written_batch_is_not_copied(spark, mapping, tmp_path, monkeypatch):
+    """The same table and counts, without a copy of the batch; a copy that is made goes
+    before the table is written."""
+    staged, left = [], []
+
+    def noted(df, name):
+        out = stage(df, name)
+        staged.append((name, out.inputFiles()[0]))
+        return out
+
+    write = merging.write_silver
+    monkeypatch.setattr(merging, "stage", noted)
+    monkeypatch.setattr(merging, "write_silver", lambda *a: left.append([n for n, f in staged if n == "merge-batch" and path_exists(spark, f)]) or write(*a))
+    r = random.Random(6)
+    batches = [stage(versions(spark, mapping, i, r), "versions") for i in range(2)]
+    found = []
+    for written in (True, False):
+        silver, counts = (str(tmp_path / f"{n}{written}") for n in "sc")
+        got = [merge_silver(spark, silver, b, SETTINGS, counts_path=counts, written=written).first() for b in batches]
+        table = read_silver(spark, silver)
+        found.append((got, shown(table.select(sorted(table.columns))), shown(PriceCounts(spark, counts, silver).read())))
+        assert [n for n, _ in staged].count("merge-batch") == (0 if written else 2)
+    assert found[0] == found[1] and left == [[]] * 4
+
+
 def test_counts_are_mended_after_a_break(spark, mapping, tmp_path, monkeypatch):
     silver, counts = str(tmp_path / "s"), str(tmp_path / "c")
     r = random.Random(5)
