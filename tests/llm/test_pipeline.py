@@ -100,7 +100,7 @@ def test_every_operator_has_one_query():
 @pytest.mark.parametrize("name", [q for q in oracle_sql() if q.startswith("op")])
 def test_query_equals_its_twin(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "conversations"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     got = queries()[name](spark, str(FOLDER)).toPandas()
     twin = db.sql(oracle_sql()[name]).df()
